@@ -78,8 +78,8 @@ class Recent(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
         self[key] = value
         return value

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash
+from . import bpe, exact_dedup, simhash, token_files, url_filter
 
 _MODULES = {
     "op1_simhash": simhash,
+    "op2_url_filter": url_filter,
     "op3_exact_dedup": exact_dedup,
+    "op5_bpe": bpe,
+    "op10_token_files": token_files,
 }
 
 QUERIES = {name: m.query for name, m in _MODULES.items()}
