@@ -35,8 +35,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of df (file sizes for a scan); it starts no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate of df (file sizes for a scan). Where there is none, as for local rows, strings are measured."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < 1 << 56:
+        return size
+    lengths = [F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    return df.select(sum(lengths, F.lit(16)).alias("n")).agg(F.sum("n")).first()[0] or 0
 
 
 def buckets_for(df: DataFrame, bytes_each: int, least: int = 32) -> int:
