@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, simhash, token_files, url_filter
+from . import bpe, exact_dedup, mixing, simhash, suffix_dedup, token_files, toxicity, url_filter
 
 _MODULES = {
     "op1_simhash": simhash,
     "op2_url_filter": url_filter,
     "op3_exact_dedup": exact_dedup,
     "op5_bpe": bpe,
+    "op7_toxicity": toxicity,
+    "op8_mixing": mixing,
+    "op9_suffix_dedup": suffix_dedup,
     "op10_token_files": token_files,
 }
 
