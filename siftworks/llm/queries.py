@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing, simhash, suffix_dedup, token_files, toxicity, url_filter
+from . import bpe, exact_dedup, mixing, search, sharding, simhash, suffix_dedup, token_files, toxicity, url_filter
 
 _MODULES = {
     "op1_simhash": simhash,
     "op2_url_filter": url_filter,
     "op3_exact_dedup": exact_dedup,
+    "op4_sharding": sharding,
     "op5_bpe": bpe,
+    "op6_search": search,
     "op7_toxicity": toxicity,
     "op8_mixing": mixing,
     "op9_suffix_dedup": suffix_dedup,
