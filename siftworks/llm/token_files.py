@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import tokenizer_path
-from .common import Recent, buckets_for, checkpoint_dir, documents
+from .common import buckets_for, checkpoint_dir, documents, materialize
 from .perfect_hash import PerfectHash, mix
 
 SEGMENT_TOKENS = 1 << 18
 SHARD_BYTES = 64 << 20
+#: Shards whose starts are broadcast (16 MB); more are joined.
+MOST_BROADCAST = 1 << 20
 SCHEMA = "shard int, segment int, low bigint, high bigint, at bigint, n_docs int, n_tokens bigint, width int, keys binary, null_keys int, offsets binary, index binary, prints binary, firsts binary, counts binary, payload binary"
 
 
@@ -38,10 +40,11 @@ class LibraryEncoder:
     """Encodes with the tokenizers library, each distinct stretch of text once while it is remembered.
 
     Text is cut at single spaces between two other characters: there, and only there is this safe, the byte-level
-    pre-split always starts a new word, so the stretches' ids join to the ids of the whole.
+    pre-split always starts a new word, so the stretches' ids join to the ids of the whole. Stretches that aren't known
+    are encoded as one text, whose ids are dealt out again by the tokens' lengths.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -49,34 +52,51 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.kind = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
+        # a byte-level token has one character for each byte; a special token stands for its own bytes
+        vocab = self.library.get_vocab()
+        special = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)
+        for t, i in vocab.items():
+            self.lengths[i] = len(t.encode()) if t in special else len(t)
+        self.unsafe = re.compile(r" \s|\s ")
         self.cut = re.compile(r"(?<=\S) (?=\S)")
-        self.known = Recent(None, most)
+        self.most, self.known, self.old = most, {}, {}
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of " " + each of new."""
+        width = np.dtype(self.kind).itemsize
+        for at in range(0, len(new), 8192):
+            part = [" " + p for p in new[at:at + 8192]]
+            ids = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.cumsum(self.lengths[ids])
+            cuts = np.searchsorted(ends, np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in part]), "left") + 1
+            data, a = ids.tobytes(), 0
+            for p, b in zip(new[at:at + 8192], (cuts * width).tolist()):
+                self.known[p] = data[a:b]
+                a = b
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian bytes of self.kind."""
-        cuts = []
-        for t in texts:
-            parts = t.split(" ")
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
-                parts = self.cut.split(t)
-            cuts.append([parts[0], *[" " + p for p in parts[1:]]] if t else [])
-        known, old = self.known, self.known.old
-        new = list({p for parts in cuts for p in parts if p not in known and p not in old})
-        fresh = {}
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            fresh.update(zip(part, [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(part, add_special_tokens=False)]))
-
-        def of(p):
-            return fresh[p] if p in fresh else known[p]
-
-        out = [b"".join([of(p) for p in parts]) for parts in cuts]
-        for p, ids in fresh.items():
-            if len(known) >= known.most:
-                known.old = dict(known)
-                known.clear()
-            known[p] = ids
-        return out
+        if len(self.known) > self.most:
+            self.known, self.old = {}, self.known
+        cuts = [self.cut.split(t) if self.unsafe.search(t) else t.split(" ") for t in texts]
+        wanted: set[str] = set()
+        for parts in cuts:
+            wanted.update(parts[1:])
+        known, old = self.known, self.old
+        new = []
+        for p in wanted:
+            if p not in known:
+                if p in old:
+                    known[p] = old[p]
+                else:
+                    new.append(p)
+        self._learn(new)
+        ids = known.__getitem__
+        return [self._alone(parts[0]) + b"".join(map(ids, parts[1:])) if t else b"" for t, parts in zip(texts, cuts)]
 
 
 @lru_cache(maxsize=2)
@@ -175,8 +195,10 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
     """(id_col, start, n_tokens, ids_crc32) of every document, each looked up by its key in its segment's index."""
     files = spark.read.parquet(path)
     shards = files.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-    # one row a shard, a few bytes each: a million shards are 16 MB
-    starts = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("start0"))
+    # one row a shard of 16 bytes; without a hint the join would deal out the payloads before it knows how small this is
+    starts = materialize(shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("start0")))
+    if starts.count() <= MOST_BROADCAST:
+        starts = F.broadcast(starts)
 
     def read(batches):
         for b in batches:
