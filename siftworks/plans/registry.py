@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import fixtures, queries
+
+QUERIES: dict = {**queries.QUERIES, **fixtures.QUERIES}
+ORACLES: dict[str, str] = dict(queries.ORACLES)
