@@ -43,7 +43,7 @@ def crawl_delay(declared: Column, requests: Column, seconds: Column) -> Column:
 def retry_after(value: Column, now: Column) -> Column:
     """Seconds, or the time until an HTTP date (never below 0); null if neither."""
     date = F.try_to_timestamp(F.regexp_replace(value, "^[A-Za-z]{3}, ", ""), F.lit("dd MMM yyyy HH:mm:ss z"))
-    return F.coalesce(value.try_cast("double"), F.greatest(F.lit(0.0), (date.cast("double") - now.cast("double"))))
+    return F.coalesce(value.try_cast("double"), F.when(date.isNotNull(), F.greatest(F.lit(0.0), date.cast("double") - now.cast("double"))))
 
 
 def oai_datetime(date: Column) -> Column:
@@ -58,7 +58,7 @@ def utc_stamp(ts: Column) -> Column:
 
 def split_subjects(values: Column, most: int = 60) -> Column:
     """Subjects that stand in one field, at semicolons and commas."""
-    return F.slice(F.filter(F.transform(F.flatten(F.transform(values, lambda v: F.split(v, "[;,]"))), F.trim), lambda x: x != ""), 1, most)
+    return F.slice(F.filter(F.transform(F.flatten(F.transform(values, lambda v: F.split(v, "[;,]"))), lambda x: F.trim(x)), lambda x: x != ""), 1, most)
 
 
 def squeezed(text: Column, most: int = 4000) -> Column:

@@ -211,7 +211,7 @@ def metadata(parsed: DataFrame, url_col: str = "url") -> DataFrame:
     authors = F.when(F.size(authors) > 0, authors).otherwise(F.coalesce(author_ld, F.array().cast("array<string>")))
     meta = F.struct(
         F.coalesce(title, ld("name", "headline"), last).alias("title"),
-        F.slice(F.filter(F.transform(authors, F.trim), lambda x: x != ""), 1, 60).alias("authors"),
+        F.slice(F.filter(F.transform(authors, lambda x: F.trim(x)), lambda x: x != ""), 1, 60).alias("authors"),
         F.left(abstract, F.lit(4000)).alias("abstract"),
         F.coalesce(_first(m, "citation_publication_date", "citation_date", "citation_online_date"), _first(m, "dc.date", "dcterms.issued", "dcterms.created"), ld("datePublished", "dateCreated")).alias("date"),
         F.coalesce(_first(m, "citation_publisher", "citation_journal_title"), _first(m, "dc.publisher")).alias("publisher"),

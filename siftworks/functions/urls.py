@@ -153,5 +153,5 @@ def best_title(meta_title: Column, anchor: Column, url: Column) -> Column:
 
 def sitemap_locations(robots: Column) -> Column:
     """Sitemap lines of a robots.txt, in order."""
-    rows = F.filter(F.transform(F.split(F.coalesce(robots, F.lit("")), "\n"), F.trim), lambda x: F.lower(x).startswith("sitemap:"))
+    rows = F.filter(F.transform(F.split(F.coalesce(robots, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: F.lower(x).startswith("sitemap:"))
     return F.filter(F.transform(rows, lambda x: F.trim(F.substring(x, 9, 1 << 20))), lambda x: x != "")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-RECORD = StructType.fromDDL(
+#: Columns of a record and their types.
+RECORD = dict(c.split(" ", 1) for c in (
     "source string, source_id string, title string, landing_url string, candidate_urls array<string>, abstract string, authors array<string>, organization string, pub_date string, doc_type string, "
-    "subject_terms array<string>, rights string, export_control boolean, export_control_reason string, lexicon_score double, tier string, matched_terms array<string>, retrieved_at timestamp, raw_metadata string")
+    "subject_terms array<string>, rights string, export_control boolean, export_control_reason string, lexicon_score double, tier string, matched_terms array<string>, retrieved_at timestamp, raw_metadata string").split(", "))
 
 
 def record_key(source: Column | str = "source", source_id: Column | str = "source_id") -> Column:
@@ -17,7 +17,7 @@ def record_key(source: Column | str = "source", source_id: Column | str = "sourc
 
 def conform(df: DataFrame) -> DataFrame:
     """df with exactly the columns of a record; what it lacks is null."""
-    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in RECORD])
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c) for c, kind in RECORD.items()])
 
 
 def split_export_control(records: DataFrame) -> tuple[DataFrame, DataFrame]:
