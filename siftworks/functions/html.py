@@ -195,8 +195,9 @@ def metadata(parsed: DataFrame, url_col: str = "url") -> DataFrame:
     from .content import split_subjects
 
     m = F.col("metas")
-    node = F.expr("filter(transform(flatten(transform(json_ld, x -> coalesce(from_json(x, 'array<map<string,string>>'), array()))), x -> x), x -> x is not null)")
-    ld = lambda *ks: F.coalesce(*[F.try_element_at(F.filter(F.transform(F.col("__ld"), lambda n, k=k: F.nullif(F.trim(F.regexp_replace(n[k], r"\s+", " ")), F.lit(""))), lambda x: x.isNotNull()), F.lit(1)) for k in ks])
+    node = F.expr("filter(transform(flatten(transform(json_ld, x -> coalesce(from_json(if(ltrim(x) like '{%', concat('[', x, ']'), x), 'array<struct<name:string,headline:string,description:string,abstract:string,datePublished:string,dateCreated:string,author:string>>'), array()))), x -> x), x -> x is not null)")
+    present = lambda k: F.filter(F.transform(F.col("__ld"), lambda n: F.nullif(F.trim(F.regexp_replace(n[k], r"\s+", " ")), F.lit(""))), lambda x: x.isNotNull())
+    ld = lambda *ks: F.coalesce(*[F.try_element_at(present(k), F.lit(1)) for k in ks])
     df = parsed.withColumn("__ld", node)
     title = F.coalesce(_first(m, "citation_title"), _first(m, "dc.title", "dcterms.title"), _first(m, "og:title"))
     abstract = F.coalesce(_first(m, "citation_abstract"), _first(m, "dcterms.abstract", "dc.description"), _first(m, "og:description", "description"), ld("description", "abstract"))
