@@ -53,6 +53,11 @@ def documents(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def by_place(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with its columns named by their place, so that no name of ours can clash, and the names to give back."""
+    return docs.toDF(*[f"column{i}" for i in range(len(docs.columns))]), docs.columns
+
+
 def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, documents, materialize, text_bytes
+from .common import ASCII_SPACE, by_place, documents, materialize, text_bytes
 
 PRIME = (1 << 31) - 1
 POINTS = (1_482_907_561, 931_084_627)
@@ -155,16 +155,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with docs' own columns."""
     judged = exact_dedup(docs, id_col, text_col)
-    if docs.groupBy(id_col).count().where("count > 1").isEmpty():
-        dropped = judged.where("not kept").select(F.col(id_col).alias("__id"))
-        return docs.join(dropped, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left_anti")
+    rows, names = by_place(docs)
+    key, text = rows[docs.columns.index(id_col)], rows[docs.columns.index(text_col)]
+    if docs.groupBy(F.col(f"`{id_col}`")).count().where("count > 1").isEmpty():
+        dropped = judged.where("not kept").select(F.col(id_col).alias("id"))
+        return rows.join(dropped, key.eqNullSafe(F.col("id")), "left_anti").toDF(*names)
     # an id stands on several rows: they are told apart by their text, and equal ones merged
-    clean = F.sha2(F.translate(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), " \t\n\x0b\x0c\r", ""), 256)
-    kept = judged.where("kept").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__kept"))
-    tagged = docs.withColumn("__sha", clean)
-    found = tagged.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__kept")), "left_semi")
-    longest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.length(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))).alias("r")
-    return found.groupBy(F.col(f"`{id_col}`").alias("__id"), "__sha").agg(longest).select("r.*")
+    clean = F.sha2(F.translate(F.coalesce(text, F.lit("")), " \t\n\x0b\x0c\r", ""), 256)
+    kept = judged.where("kept").select(F.col(id_col).alias("id"), F.col("text_sha256").alias("kept_sha"))
+    found = rows.withColumn("sha", clean).join(kept, key.eqNullSafe(F.col("id")) & (F.col("sha") == F.col("kept_sha")), "left_semi")
+    longest = F.max_by(F.struct(*rows.columns), F.length(F.coalesce(text, F.lit("")))).alias("r")
+    return found.groupBy(key.alias("k"), "sha").agg(longest).select("r.*").toDF(*names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

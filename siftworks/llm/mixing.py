@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
+from .common import by_place, documents, materialize
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST, BLOCK, SHARD_WORDS, SEED = 1.5, 2, 16, 1 << 20, 17
@@ -120,10 +120,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     Rows that share id, source and size share one plan, that of the first of them.
     """
     plan = mix(docs, id_col, text_col, source_col, **options).where("taken > 0")
-    plan = plan.groupBy(id_col, "source", "size").agg(F.min(F.struct("whole", "from", "to", "again")).alias("plan")).select(
-        F.col(id_col).alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("plan").alias("__plan"))
-    size = F.regexp_count(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
-    joined = docs.join(plan, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & F.col(f"`{source_col}`").eqNullSafe(F.col("__source")) & (size == F.col("__size")))
+    plan = plan.groupBy(F.col(id_col).alias("id"), "source", "size").agg(F.min(F.struct("whole", "from", "to", "again")).alias("plan"))
+    rows, names = by_place(docs)
+    key, text, source = (rows[names.index(c)] for c in (id_col, text_col, source_col))
+    size = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
+    joined = rows.join(plan, key.eqNullSafe(F.col("id")) & source.eqNullSafe(F.col("source")) & (size == F.col("size")))
 
     @F.udf("array<string>")
     def pieces(text, size, p):
@@ -134,8 +135,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
                 out.append(text if b - a == size else cut_words(text, a, b))
         return out
 
-    cols = [F.col(f"`{c}`") if c not in (text_col, length_col) else (F.col("__piece") if c == text_col else F.length("__piece").cast(dict(docs.dtypes)[c])).alias(c) for c in docs.columns]
-    return joined.withColumn("__piece", F.explode(pieces(F.col(f"`{text_col}`"), F.col("__size"), F.col("__plan")))).select(cols)
+    cols = [F.col("piece") if c == text_col else F.length("piece").cast(kind) if c == length_col else F.col(f"column{i}") for i, (c, kind) in enumerate(docs.dtypes)]
+    return joined.withColumn("piece", F.explode(pieces(text, F.col("size"), F.col("plan")))).select(cols).toDF(*names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, text_bytes
+from .common import by_place, documents, materialize, text_bytes
 from .components import components
 
 BITS = 64
@@ -204,8 +204,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs without the rows whose component has a smaller id; rows without an id, and rows that repeat one, all stay."""
     classes = near_duplicates(docs, id_col, text_col, **options)
-    dropped = classes.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(dropped, F.col(f"`{id_col}`") == F.col("__id"), "left_anti")
+    dropped = classes.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("id")).distinct()
+    rows, names = by_place(docs)
+    return rows.join(dropped, rows[docs.columns.index(id_col)] == F.col("id"), "left_anti").toDF(*names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

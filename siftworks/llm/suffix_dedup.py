@@ -160,6 +160,11 @@ def earliest(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             c = c[order]
             same &= c[1:] == c[:-1]
         first[1:] = ~same
+        # a row that repeats wholly is the same document: none of its windows starts earlier than itself
+        lead = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+        for c in columns[-2:]:
+            same = c[order] == c[order][lead] if c is columns[-2] else same & (c[order] == c[order][lead])
+        first |= same
     return order, first
 
 
