@@ -60,8 +60,8 @@ class WordCodec:
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
         self.beyond = re.compile(f"[^\0-{_LATIN}]")
         self.symbols = byte_symbols()
-        self.of_word = Recent(self._word, 200_000)
-        self.of_piece = Recent(self._piece, 200_000)
+        self.of_word = Recent(self._word, 100_000)
+        self.of_piece = Recent(self._piece, 100_000)
 
     def _word(self, word: str) -> tuple[bytes, str]:
         return self._spelt(word if word.isascii() and word.isalnum() else "".join([self.symbols[b] for b in word.encode()]))

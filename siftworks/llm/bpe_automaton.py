@@ -17,6 +17,8 @@ from __future__ import annotations
 #: Stands for the end-of-word suffix inside spellings; byte-level symbols never include it.
 END = "\n"
 _NEVER = 1 << 60
+#: Transitions that are kept at once.
+MOST_ARCS = 300_000
 
 
 class Automaton:
@@ -29,6 +31,7 @@ class Automaton:
         self.since: dict[int, int] = {i: -1 for i in ids.values()}  # the merge whose gadget made a label
         self.taken: dict[tuple[int, int], int] = {}  # (u, v): the merge whose gadget took arc v off u's state
         self.table: dict[int, dict[int, bool]] = {i: {} for i in ids.values()}
+        self.filled = 0
         self._at: dict[tuple[int, int, int], bool] = {}
         self.live: list[bool] = []
         for k, (a, b) in enumerate(merges):
@@ -62,6 +65,11 @@ class Automaton:
         """Whether the state after token `state` has an arc `token` once all merges are in."""
         row = self.table[state]
         if (known := row.get(token)) is None:
+            self.filled += 1
+            if self.filled > MOST_ARCS:  # the table is worked out anew where it is needed
+                self.filled = 0
+                for r in self.table.values():
+                    r.clear()
             known = row[token] = self._present(state, token, _NEVER)
         return known
 
@@ -71,7 +79,7 @@ class Automaton:
         if (known := self._at.get(key)) is not None:
             return known
         self._at[key] = out = self._look(w, t, before)
-        if len(self._at) > 2_000_000:
+        if len(self._at) > MOST_ARCS:
             self._at.clear()
         return out
 

@@ -48,8 +48,20 @@ def buckets_for(df: DataFrame, bytes_each: int, least: int = 32) -> int:
     return max(least, -(-input_bytes(df) // bytes_each))
 
 
+#: Rows of an Arrow batch: whole documents are long, so Spark's 10,000 could be a gigabyte.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS, unless they are that small already."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def documents(docs: DataFrame, *columns: str) -> DataFrame:
     """Only the columns an operator reads, so whatever else the table holds can't clash."""
+    small_batches(docs.sparkSession)
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 

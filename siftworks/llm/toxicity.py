@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, text_bytes
+from .common import documents, materialize, small_batches, text_bytes
 
 SAMPLE = 20_000
 MOST_FEATURES = 50_000
@@ -260,7 +260,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 class Scorer:
     """Scores texts. Of the stretches it has met it remembers, up to a bound, which have words with evidence."""
 
-    def __init__(self, model: Model, most: int = 500_000):
+    def __init__(self, model: Model, most: int = 250_000):
         self.model, self.reader, self.most = model, Reader(model.chars), most
         self.seen: set[str] = set()
         self.found: dict[str, list[tuple[str, float]]] = {}
@@ -308,6 +308,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs without the rows whose score is 0.5 or more, filtered where they are read."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, **options))
     at = docs.columns.index(text_col)
 
