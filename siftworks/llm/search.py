@@ -3,8 +3,8 @@
 The index is built in shards, each a row: postings in term order, cut into blocks of 128 neighbouring documents. Shard
 statistics add up to the global ones (documents, mean length, document frequencies of the asked terms), with which every
 shard scores, so the merge of the shards' top k is exact. In a shard, a query's bound for a block is the sum over its
-terms of weight times the block's greatest impact; blocks are scored from the greatest bound on, and all blocks whose
-bound can't reach the k-th score so far are skipped. That score is carried from shard to shard within a task.
+terms of weight times the block's greatest impact; the best blocks are scored first, and all blocks whose bound can't
+reach the k-th score so far are skipped. That score is carried from shard to shard within a task.
 
 Words are runs of letters and digits, lower-cased. A word's weight in a query counts its repeats. Scores are compared at
 six decimals, so that the order of summing can't decide; ties go to the smaller id.
@@ -73,52 +73,75 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 class Shard:
-    """A shard read for scoring: impacts of its postings and the greatest of every (term, block)."""
+    """A shard read for scoring.
+
+    Terms in at least a sixteenth of the documents have a dense row of impacts; all others keep their postings.
+    Documents are put in the order of their strongest dense term and their length, so that a block holds documents of
+    one kind and its bounds are tight.
+    """
 
     def __init__(self, data: bytes, mean_length: float | None = None):
-        self.ids, lengths, vocab, df, self.doc, tf = unpack(data, np.int64, np.int64, np.uint8, np.int32, np.uint16, np.uint32)
+        self.ids, lengths, vocab, df, doc, tf = unpack(data, np.int64, np.int64, np.uint8, np.int32, np.uint16, np.uint32)
         self.terms = {w: i for i, w in enumerate(vocab.tobytes().decode().split("\n"))} if len(vocab) else {}
         self.df = df.astype(np.int64)
         if mean_length is None or not len(df):
             return
+        n = len(self.ids)
         norm = K1 * (1 - B + B * lengths / mean_length)
-        self.impact = tf * (K1 + 1) / (tf + norm[self.doc])
+        impact = tf * (K1 + 1) / (tf + norm[doc])
+        frequent = self.df >= max(8, n // 16)
+        self.row = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        self.n_blocks = -(-n // BLOCK)
+        dense = np.zeros((int(frequent.sum()), self.n_blocks * BLOCK))
         term = np.repeat(np.arange(len(df)), self.df)
-        self.n_blocks = -(-len(self.ids) // BLOCK)
-        cell = term * self.n_blocks + self.doc // BLOCK
-        self.cell_start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-        self.cell_end = np.append(self.cell_start[1:], len(cell))
-        self.cell_block = (cell % self.n_blocks)[self.cell_start]
-        self.cell_most = np.maximum.reduceat(self.impact, self.cell_start)
-        self.first_cell = np.searchsorted(cell[self.cell_start], np.arange(len(df) + 1) * self.n_blocks)
-
-    def top(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """(document, score) of all documents that may be among the k best and score at least `least`."""
-        a, n = self.first_cell[terms], self.first_cell[terms + 1] - self.first_cell[terms]
-        cells = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        own = np.repeat(weights, n)
-        block = self.cell_block[cells]
-        bound = np.bincount(block, own * self.cell_most[cells], self.n_blocks) + 1e-6
-        order = np.argsort(-bound, kind="stable")
-        scores = np.zeros(self.n_blocks * BLOCK)
-        at, step = 0, max(1, -(-4 * k // BLOCK))
-        while at < len(order):
-            now = order[at:at + step]
-            now = now[bound[now] >= max(least, 1e-9)]
-            if not len(now):
-                break
-            on = np.zeros(self.n_blocks, bool)
-            on[now] = True
-            pick = on[block]
-            c = cells[pick]
-            size = self.cell_end[c] - self.cell_start[c]
-            post = np.repeat(self.cell_start[c] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            scores += np.bincount(self.doc[post], np.repeat(own[pick], size) * self.impact[post], len(scores))
-            if (scores > 0).sum() >= k:
-                least = max(least, np.round(np.partition(scores, -k)[-k], 6))
-            at, step = at + len(now), step * 4
-        found = np.flatnonzero((scores > 0) & (scores >= least - 1e-6))
-        return found, np.round(scores[found], 6)
+        on = frequent[term]
+        dense[self.row[term[on]], doc[on]] = impact[on]
+        order = np.lexsort((lengths, dense[:, :n].argmax(axis=0) if len(dense) else lengths))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        self.ids = self.ids[order]
+        dense[:, :n] = dense[:, order]
+        self.dense = dense
+        self.dense_most = dense.reshape(len(dense), self.n_blocks, BLOCK).max(axis=2)
+        self.doc, self.impact = place[doc[~on]], impact[~on]
+        self.count = np.where(frequent, 0, self.df)
+        self.first = np.cumsum(self.count) - self.count
+
+    def top(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, least: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (terms, weights): places and scores of all documents that may be among its k best and score at least `least`.
+
+        A block's bound is what its dense terms can give at most plus the best sum of its postings. Blocks are scored in
+        two waves, each block for all queries that want it at once: every query's best blocks first, then, with the k-th
+        score they give, those blocks whose bound still reaches it. All other blocks are skipped.
+        """
+        nq, width = len(queries), self.n_blocks * BLOCK
+        dense_weight, scores = np.zeros((nq, len(self.dense))), np.zeros((nq, width))
+        for q, (terms, weights) in enumerate(queries):
+            row = self.row[terms]
+            dense_weight[q, row[row >= 0]] = weights[row >= 0]
+            t, w = terms[row < 0], weights[row < 0]
+            size = self.count[t]
+            post = np.repeat(self.first[t] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            scores[q] = np.bincount(self.doc[post], np.repeat(w, size) * self.impact[post], width)
+        bound = dense_weight @ self.dense_most + scores.reshape(nq, self.n_blocks, BLOCK).max(axis=2) + 1e-6
+        some = bound > 2e-6
+        best_first = max(1, -(-2 * k // BLOCK))
+        cut = np.partition(bound, -best_first, axis=1)[:, -best_first] if best_first < self.n_blocks else bound.min(axis=1)
+        wave = some & (bound >= cut[:, None]) & (bound >= least[:, None])
+        done = np.zeros_like(wave)
+        for _ in range(2):
+            for b in np.flatnonzero(wave.any(axis=0)):
+                q = np.flatnonzero(wave[:, b])
+                scores[q, b * BLOCK:(b + 1) * BLOCK] += dense_weight[q] @ self.dense[:, b * BLOCK:(b + 1) * BLOCK]
+            done |= wave
+            known = np.where(np.repeat(done, BLOCK, axis=1), scores, 0.0)
+            least = np.maximum(least, np.round(np.partition(known, -k, axis=1)[:, -k], 6)) if k < width else least
+            wave = some & ~done & (bound >= least[:, None])
+        out = []
+        for q in range(nq):
+            found = np.flatnonzero((known[q] > 0) & (known[q] >= least[q] - 1e-6))
+            out.append((found, np.round(known[q, found], 6)))
+        return out
 
 
 class Best:
@@ -177,12 +200,16 @@ def _search_block(index: DataFrame, block: list[tuple[int, Counter]], n_docs: in
                 here = np.full(len(names), -1, np.int64)
                 both = list(s.terms.keys() & names.keys())
                 here[[names[w] for w in both]] = [s.terms[w] for w in both]
-                for (_, terms, weights), top in zip(queries, best):
+                asked = []
+                for j, (_, terms, weights) in enumerate(queries):
                     own = here[terms]
-                    there = own >= 0
-                    if there.any():
-                        doc, score = s.top(own[there], weights[there], k, top.least)
-                        top.add(s.ids[doc], score)
+                    if (there := own >= 0).any():
+                        asked.append((j, own[there], weights[there]))
+                for at in range(0, len(asked), 256):
+                    part = asked[at:at + 256]
+                    made = s.top([(t, w) for _, t, w in part], k, np.array([best[j].least for j, _, _ in part]))
+                    for (j, _, _), (doc, score) in zip(part, made):
+                        best[j].add(s.ids[doc], score)
         for at in range(0, len(queries), 1024):
             part = list(zip(queries[at:at + 1024], best[at:at + 1024]))
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat([q[0] for q, _ in part], [len(t.ids) for _, t in part]), pa.int64()),
