@@ -16,7 +16,7 @@ Every digit is first sorted within a task, which passes on the earliest of equal
 documents reaches a later task once from each earlier one. Texts are dealt out once, packed, and read twice.
 
 Null and empty texts have no bytes: nothing is removed, the hash is that of no bytes. Documents longer than a piece
-(4 MB) are cut into pieces whose windows overlap. Rows that repeat an id and text are one document and get equal rows;
+(1 MB) are cut into pieces whose windows overlap. Rows that repeat an id and text are one document and get equal rows;
 rows with one id and several texts are ordered by the text's hash. A null id comes before all others. Empty table: no
 rows.
 """
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import buckets_for, by_size, documents, materialize, text_bytes
 
 GRAM = 32
-PIECE = 1 << 22
-FLUSH = 1 << 20
+PIECE = 1 << 20
+FLUSH = 1 << 19
 NULL_KEY = -(1 << 63)
 ROWS = "bucket int, kind int, data binary"
 BUNDLES, SPANS, ASKED, TEXTS = range(4)
