@@ -11,9 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import extract
+from ..functions.html import extract, metadata
 from ..functions.lexicon import NEGATIVE, Lexicon, with_score
-from ..functions.urls import best_title, canonical_url, in_scope, is_document, trap_reason
+from ..functions.urls import DOCUMENT_EXTENSIONS, best_title, canonical_url, in_scope, is_document, trap_reason
 from ..operators.frontier import PENDING, VISITED, merge_found, set_state, url_head
 from ..operators.links import LinkWeights, exploded, with_priority
 
@@ -31,6 +31,8 @@ class CrawlRules:
     most_depth: int = 5
     batch: int = 1
     focused: bool = True
+    document_extensions: tuple[str, ...] = tuple(DOCUMENT_EXTENSIONS)
+    document_patterns: tuple[str, ...] = ()
 
 
 _URLS = "source string, url string, depth int, priority double, state string, kind string, anchor string, parent string, seq bigint"
@@ -56,11 +58,12 @@ def crawl(pages: DataFrame, lex: Lexicon, rules: CrawlRules, weights: LinkWeight
         if not n:
             break
         visited += n
-        got = extract(head.select("source", "url", "depth").join(known, "url"))
+        got = metadata(extract(head.select("source", "url", "depth", F.col("anchor").alias("led")).join(known, "url"), extensions=rules.document_extensions))
+        got = got.select("source", "url", "depth", "led", "links", F.col("meta.title").alias("title"), F.col("meta.pdf_url").alias("pdf_url")).checkpoint(True)
         links = exploded(got.withColumnsRenamed({"url": "parent", "depth": "d"}), "source", "parent", "d").withColumn("url", canonical_url(F.col("url")))
         kept = links.where((F.col("d") < rules.most_depth) & in_scope(F.col("url"), rules.allow_hosts, rules.block_hosts, rules.allow_paths, rules.deny_paths) & trap_reason(F.col("url")).isNull())
-        kept = kept.withColumn("is_document", F.col("is_document") | is_document(F.col("url"))).withColumn("depth", F.col("d") + 1)
-        scored = with_priority(kept, lex, weights, rules.focused)
+        kept = kept.withColumn("is_document", F.col("is_document") | is_document(F.col("url"), rules.document_extensions, rules.document_patterns)).withColumn("depth", F.col("d") + 1)
+        scored = with_priority(kept, lex, weights, rules.focused).unionByName(_declared(got, lex, weights, rules.focused), allowMissingColumns=True)
         found = scored.select("source", "url", F.col("depth").cast("int").alias("depth"), "priority", F.when(F.col("is_document"), "document").otherwise("page").alias("kind"), "anchor", "parent",
                               (F.lit(number).cast("bigint") + F.col("pos")).alias("seq"))
         number += 1_000_000
@@ -69,6 +72,14 @@ def crawl(pages: DataFrame, lex: Lexicon, rules: CrawlRules, weights: LinkWeight
     return urls
 
 
+def _declared(got: DataFrame, lex: Lexicon, weights: LinkWeights, focused: bool) -> DataFrame:
+    """The documents that pages name in their heads or wrapper scripts, at the page's own depth and after its links; scope and traps don't apply."""
+    anchor = F.coalesce(F.nullif("title", F.lit("")), F.nullif("led", F.lit("")), F.lit("(citation_pdf_url)"))
+    named = got.where(F.col("pdf_url").isNotNull()).select(
+        "source", F.col("url").alias("parent"), canonical_url(F.col("pdf_url")).alias("url"), "depth", F.size("links").alias("pos"), anchor.alias("anchor"), F.lit("").alias("context"), F.lit(True).alias("is_document"))
+    return with_priority(named, lex, weights, focused).withColumn("priority", F.col("priority") + weights.declared)
+
+
 def relevant_documents(urls: DataFrame, lex: Lexicon) -> DataFrame:
     """Documents of a crawl with title, score, tier and relevant."""
     docs = urls.where("kind = 'document'").withColumn("title", best_title(F.lit(None).cast("string"), F.col("anchor"), F.col("url")))
