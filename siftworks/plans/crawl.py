@@ -15,7 +15,7 @@ from ..functions.html import extract, metadata
 from ..functions.lexicon import NEGATIVE, Lexicon, with_score
 from ..functions.urls import DOCUMENT_EXTENSIONS, best_title, canonical_url, in_scope, is_document, trap_reason
 from ..operators.frontier import PENDING, VISITED, merge_found, set_state, url_head
-from ..operators.links import LinkWeights, exploded, with_priority
+from ..operators.links import LinkWeights, describes, exploded, with_priority
 
 
 @dataclass(frozen=True)
@@ -80,15 +80,26 @@ def _declared(got: DataFrame, lex: Lexicon, weights: LinkWeights, focused: bool)
     return with_priority(named, lex, weights, focused).withColumn("priority", F.col("priority") + weights.declared)
 
 
-def relevant_documents(urls: DataFrame, lex: Lexicon) -> DataFrame:
-    """Documents of a crawl with title, score, tier and relevant."""
-    docs = urls.where("kind = 'document'").withColumn("title", best_title(F.lit(None).cast("string"), F.col("anchor"), F.col("url")))
-    return with_score(docs, lex, F.col("title"), F.lit(None).cast("string")).withColumn("relevant", F.col("tier") != NEGATIVE)
+def _landings(urls: DataFrame, pages: DataFrame, rules: CrawlRules) -> DataFrame:
+    """(url, meta, documents) of the pages that documents were found on; a page at the last depth has no count, as its links aren't followed."""
+    parents = urls.where("kind = 'document' AND parent IS NOT NULL").select(F.col("parent").alias("url")).distinct()
+    depths = urls.where("kind = 'page'").groupBy("url").agg(F.min("depth").alias("depth"))
+    known = pages.select(canonical_url(F.col("url")).alias("url"), "html").dropDuplicates(["url"])
+    got = metadata(extract(known.join(parents, "url", "left_semi").join(depths, "url"), extensions=rules.document_extensions))
+    named = F.filter("links", lambda l: l["is_document"] | is_document(l["url"], rules.document_extensions, rules.document_patterns))
+    return got.select("url", "meta", F.when(F.col("depth") < rules.most_depth, F.size(named)).alias("documents"))
 
 
-def crawl_stats(urls: DataFrame, lex: Lexicon) -> DataFrame:
+def relevant_documents(urls: DataFrame, lex: Lexicon, pages: DataFrame, rules: CrawlRules = CrawlRules(())) -> DataFrame:
+    """Documents of a crawl with title, score, tier and relevant, judged with title and abstract of the page where it is the document's own."""
+    docs = describes(urls.where("kind = 'document'"), _landings(urls, pages, rules))
+    docs = docs.withColumns({"title": best_title(F.col("meta.title"), F.col("anchor"), F.col("url")), "abstract": F.col("meta.abstract")}).drop("meta")
+    return with_score(docs, lex, F.col("title"), F.col("abstract")).withColumn("relevant", F.col("tier") != NEGATIVE)
+
+
+def crawl_stats(urls: DataFrame, lex: Lexicon, pages: DataFrame, rules: CrawlRules = CrawlRules(())) -> DataFrame:
     """One row a source: pages, documents, relevant, harvest_rate."""
-    pages = urls.groupBy("source").agg(F.count_if((F.col("state") == VISITED) & (F.col("kind") == "page")).alias("pages"))
-    docs = relevant_documents(urls, lex).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count_if("relevant").alias("relevant"))
-    out = pages.join(docs, "source", "left").na.fill(0)
+    visited = urls.groupBy("source").agg(F.count_if((F.col("state") == VISITED) & (F.col("kind") == "page")).alias("pages"))
+    docs = relevant_documents(urls, lex, pages, rules).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count_if("relevant").alias("relevant"))
+    out = visited.join(docs, "source", "left").na.fill(0)
     return out.withColumn("harvest_rate", F.col("relevant") / F.greatest(F.col("pages"), F.lit(1)))

@@ -72,7 +72,8 @@ def crawl_bfs(spark, d) -> DataFrame:
 
 def crawl_rates(spark, d) -> DataFrame:
     """Both strategies on one site and one budget."""
-    return crawl_stats(_crawled(spark, True).unionByName(_crawled(spark, False)), LEXICON)
+    pages = spark.createDataFrame(list(_SITE.items()), "url string, html string")
+    return crawl_stats(_crawled(spark, True).unionByName(_crawled(spark, False)), LEXICON, pages)
 
 
 QUERIES = {f.__name__: f for f in (src_ntrs, src_core, src_govuk, src_oai, crawl_focused, crawl_bfs, crawl_rates)}

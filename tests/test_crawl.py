@@ -2,7 +2,7 @@
 
 import pytest
 
-from siftworks.plans.crawl import CrawlRules, crawl
+from siftworks.plans.crawl import CrawlRules, crawl, relevant_documents
 from siftworks.plans.fixtures import LEXICON
 
 SITE = {
@@ -24,3 +24,12 @@ def test_declared_documents_and_patterns(spark, focused):
     assert (one["depth"], one["anchor"], one["parent"]) == (1, "Tide table of the year", "https://s.example/one")
     assert got["https://files.example/w.pdf"]["anchor"] == "wrapped"
     assert focused or one["priority"] == 5.0
+
+
+def test_relevance_is_judged_with_the_landing_page(spark):
+    heads = {"own": '<title>Tide table of the year</title><a href="/dot_1_DS1.pdf">PDF</a>', "list": '<title>Tide table index</title><a href="/dot_2_DS1.pdf">PDF</a><a href="/dot_3_DS1.pdf">PDF</a>'}
+    pages = spark.createDataFrame([(f"https://s.example/{k}", h) for k, h in heads.items()], "url string, html string")
+    rows = [("c", f"https://s.example/{k}", 0, "page", None, None) for k in heads]
+    rows += [("c", f"https://s.example/dot_{i}_DS1.pdf", 1, "document", "PDF", f"https://s.example/{k}") for i, k in ((1, "own"), (2, "list"), (3, "list"))]
+    urls = spark.createDataFrame(rows, "source string, url string, depth int, kind string, anchor string, parent string")
+    assert {r["url"][-9:-8]: r["relevant"] for r in relevant_documents(urls, LEXICON, pages).collect()} == {"1": True, "2": False, "3": False}
