@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,11 @@ def buckets_for(df: DataFrame, bytes_each: int, least: int = 32) -> int:
     return max(least, -(-input_bytes(df) // bytes_each))
 
 
+def partitions_for(df: DataFrame, bytes_each: int = 128 << 20) -> int:
+    """Partitions to deal df's rows to: the session's number, or more if one would hold above bytes_each of df's files."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // bytes_each))
+
+
 #: Rows of an Arrow batch: whole documents are long, so Spark's 10,000 could be a gigabyte.
 BATCH_ROWS = 1000
 
@@ -104,3 +110,27 @@ class Recent(dict):
                 self.clear()
         self[key] = value
         return value
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads them."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed string of bytes."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.array([a.nbytes for a in arrays], np.int64).tobytes(), *[np.ascontiguousarray(a).tobytes() for a in arrays]]))
+
+
+def unpack(data: bytes, *kinds) -> list[np.ndarray]:
+    """The arrays of `pack`, which were of these kinds."""
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    sizes = np.frombuffer(raw, np.int64, len(kinds))
+    ends = np.cumsum(sizes) + 8 * len(kinds)
+    return [np.frombuffer(raw, k, s // np.dtype(k).itemsize, e - s) for k, s, e in zip(kinds, sizes.tolist(), ends.tolist())]

@@ -24,8 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
-from .suffix_dedup import pack, unpack
+from .common import documents, materialize, pack, unpack
 
 K1, B = 1.2, 0.75
 SHARD_DOCS, SHARD_WORDS, BLOCK = 8192, 8 << 20, 128

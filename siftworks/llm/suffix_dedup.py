@@ -1,349 +1,424 @@
-"""Operator 9: removal of repeated byte windows by a depth-limited radix sort of suffixes.
-
-Suffixes are ordered by their first `width` bytes only, most significant digit first, and suffixes that stand alone after
-a digit are never looked at again; groups that are equal after the last digit are exactly the repeated windows. To sort
-billions of suffixes without moving one row for each, the digits are hashes over bundles of neighbouring suffixes:
-
-1. the first digit is the window's anchor, its 32-byte gram with the least hash (leftmost of equals). Windows that are
-   equal have equal anchors at equal places. Neighbouring windows with one anchor are a bundle, about 35 suffixes, and
-   only bundles are dealt out by this digit;
-2. the second digit is the bundle's whole content. All bundles with one content but the earliest are repeated in all
-   their windows. A bundle alone under its anchor leaves the sort;
-3. where bundles of several contents share an anchor, which happens at the ends of repeated passages, the last digit
-   orders the earliest bundle of each content window by window.
-
-Every digit is first sorted within a task, which passes on the earliest of equals alone, so a passage in a third of all
-documents reaches a later task once from each earlier one. Texts are dealt out once, packed, and read twice.
-
-Null and empty texts have no bytes: nothing is removed, the hash is that of no bytes. Documents longer than a piece
-(1 MB) are cut into pieces whose windows overlap. Rows that repeat an id and text are one document and get equal rows;
-rows with one id and several texts are ordered by the text's hash. A null id comes before all others. Empty table: no
-rows.
+"""Operator 9: removal of repeated byte windows by a depth-limited most-significant-digit radix sort of suffixes.
+
+Suffixes are ordered by their first `width` bytes only. A suffix that stands alone after a digit is never looked at
+again; the groups left after the last digit are exactly the repeated windows, and all of a group but the earliest are
+removed. One row a suffix would shuffle more than ten times the input, so neighbours travel together:
+
+1. The first digit is a suffix's anchor: of the 32-byte grams of its window the lightest (leftmost of equals). Equal
+   windows have equal anchors at equal places. Neighbouring suffixes with one anchor are a bundle, about 35 of them,
+   which travels once, with its bytes. Bundles are dealt to buckets by the anchor, `FAN` at a time: where there are
+   more buckets, they are dealt in two or more passes, most significant part of the bucket's number first.
+2. In a bucket, of bundles with equal bytes the earliest stands for all; every window of the others is repeated. The
+   same is done in each task before it deals its bundles out, so a passage of a third of all documents reaches a bucket
+   once from each part of the input, not once from each document. A bundle alone under its anchor leaves.
+3. The suffixes of the bundles left are sorted by the anchor's place and then by eight bytes at a time. Grams that
+   many different contexts of a sample share weigh more than all others, so that a common line is the anchor of those
+   windows alone that hold nothing else; the sample moves work between buckets and can't change a result.
+
+Equal hashes never decide: bundles are compared byte by byte and suffixes by their digits. Spans to remove meet their
+documents in a last shuffle, sorted, so that a document's bytes are held one at a time.
+
+Documents are ordered by id, of one id by the text's hash; a null id comes before all others. Null and empty texts have
+no bytes: nothing is removed, the hash is that of no bytes. Very long texts are cut into pieces whose windows overlap.
+Rows that repeat an id and text are one document and get equal rows. Empty table: no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, by_size, documents, materialize, text_bytes
+from .common import buckets_for, by_size, documents, input_bytes, materialize, mix, pack, partitions_for, text_bytes, unpack
 
 GRAM = 32
-PIECE = 1 << 20
-FLUSH = 1 << 19
+PIECE = 1 << 18
+FLUSH = 1 << 18
+#: Suffixes that a bucket sorts at once, unless one anchor has more.
+AT_ONCE = 1 << 20
+#: Buckets that one pass deals to.
+FAN = 8192
 NULL_KEY = -(1 << 63)
-ROWS = "bucket int, kind int, data binary"
-BUNDLES, SPANS, ASKED, TEXTS = range(4)
+#: The sample from which heavy grams are taken: one text in SAMPLE, or more of a small input; a gram is heavy from CONTEXTS contexts on.
+SAMPLE, SAMPLE_BYTES, CONTEXTS, MOST_HEAVY, TABLE = 64, 8 << 20, 32, 1 << 18, 1 << 22
+BUNDLES = "bucket int, kind int, data binary"
+SPANS = "key bigint, h bigint, start bigint, stop bigint"
 _PLACE = np.uint64((1 << 24) - 1)
-_BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_ODD = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64) | 1 for i in range(64)], np.uint64)
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    import zstandard
+def _words(data: np.ndarray, order: str = "<") -> np.ndarray:
+    """The eight bytes from every place on, as numbers. data ends with eight bytes to spare."""
+    return np.ndarray((max(len(data) - 7, 0),), f"{order}u8", data, 0, (1,))
 
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.array([a.nbytes for a in arrays], np.int64).tobytes(), *[np.ascontiguousarray(a).tobytes() for a in arrays]]))
 
+def _steps(width: int) -> list[int]:
+    """Where the digits of `width` bytes begin; the last may overlap the one before."""
+    return [*range(0, width - 8, 8), max(width - 8, 0)]
 
-def unpack(data: bytes, *kinds) -> list[np.ndarray]:
-    import zstandard
 
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    sizes = np.frombuffer(raw, np.int64, len(kinds))
-    ends = np.cumsum(sizes) + 8 * len(kinds)
-    return [np.frombuffer(raw, k, s // np.dtype(k).itemsize, e - s) for k, s, e in zip(kinds, sizes.tolist(), ends.tolist())]
+def _hash_at(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    out = np.full(len(at), width, np.uint64)
+    for i, step in enumerate(_steps(width)):
+        out += words[at + step] * _ODD[i % 64]
+        if i % 64 == 63:
+            out = mix(out)
+    return mix(out)
 
 
-def pack_sorted(keys: np.ndarray, *rest: np.ndarray) -> bytes:
-    """Keys in order take next to no room as differences."""
-    return pack(np.diff(keys, prepend=np.int64(0)), *rest)
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """The hash of the gram at each place. data ends with eight bytes to spare."""
+    words, n = _words(data), len(data) - 8 - gram + 1
+    out = np.full(n, gram, np.uint64)
+    for i, step in enumerate(_steps(gram)):
+        out += words[step:step + n] * _ODD[i]
+    return mix(out)
 
 
-def unpack_sorted(data: bytes, *kinds) -> list[np.ndarray]:
-    keys, *rest = unpack(data, np.int64, *kinds)
-    return [np.cumsum(keys), *rest]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-@lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(n, base, np.uint64)
-    down = np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-class Rolling:
-    """Polynomial hashes, modulo 2^64 and mixed, of any ranges of a buffer."""
-
-    def __init__(self, data: np.ndarray, base: int):
-        n = len(data) + 1
-        self.up, self.down = _powers(base, 1 << max(16, (n - 1).bit_length()))
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:n - 1], out=self.sums[1:])
-
-    def every(self, width: int) -> np.ndarray:
-        """The hash of each range of width bytes."""
-        n = len(self.sums) - width
-        return _mix((self.sums[width:] - self.sums[:n]) * self.down[:n])
-
-    def ranges(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return _mix((self.sums[stop] - self.sums[start]) * self.down[start] + (stop - start).astype(np.uint64))
-
-
-def anchors(grams: np.ndarray, span: int) -> np.ndarray:
-    """For each run of span grams the place of the least hash, leftmost of equals; hashes are compared by their upper 40 bits."""
+def anchors(grams: np.ndarray, span: int, heavy: np.ndarray | None) -> np.ndarray:
+    """For each run of span grams the place of the lightest, leftmost of equals; hashes are compared by 39 bits, after heaviness."""
     n = len(grams)
     size = -(-n // span) * span
     key = np.full(size, np.uint64(0xFFFFFFFFFFFFFFFF))
-    key[:n] = (grams & ~_PLACE) | np.arange(n, dtype=np.uint64)
+    key[:n] = (grams >> np.uint64(1)) & ~_PLACE | np.arange(n, dtype=np.uint64)
+    if heavy is not None:
+        key[:n] |= heavy[grams & np.uint64(len(heavy) - 1)].astype(np.uint64) << np.uint64(63)
     blocks = key.reshape(-1, span)
     left = np.minimum.accumulate(blocks, axis=1).ravel()
     right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     return (np.minimum(right[:n - span + 1], left[span - 1:n]) & _PLACE).astype(np.int64)
 
 
-def bundles(texts: list[bytes], keys: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """(key, start, count, anchor hash, content hash) of all bundles of the texts."""
-    out = []
-    pieces = [(k, at, t[at:at + PIECE + width - 1]) for k, t in zip(keys.tolist(), texts) for at in range(0, max(len(t) - width + 1, 0), PIECE)]
+def _cuts(changed: np.ndarray) -> np.ndarray:
+    """Starts of runs; changed: whether each row but the first differs from the one before."""
+    return np.flatnonzero(np.append(True, changed))
+
+
+class Bundles:
+    """Bundles with their bytes: document (key, h), start in it, number of suffixes, the anchor's place, and where their bytes are."""
+
+    def __init__(self, width: int, key, h, start, count, anchor, at, data: bytes):
+        self.width, self.key, self.h, self.start, self.count, self.anchor, self.at, self.data = width, key, h, start, count, anchor, at, data
+
+    def __len__(self) -> int:
+        return len(self.key)
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return self.count + (self.width - 1)
+
+    def take(self, i: np.ndarray) -> Bundles:
+        return Bundles(self.width, self.key[i], self.h[i], self.start[i], self.count[i], self.anchor[i], self.at[i], self.data)
+
+    @classmethod
+    def joined(cls, width: int, parts: list[Bundles]) -> Bundles:
+        if not parts:
+            none = np.empty(0, np.int64)
+            return cls(width, none, none, none, none, none, none, b"")
+        first = np.cumsum([0, *[len(p.data) for p in parts]])
+        columns = [np.concatenate([getattr(p, c) for p in parts]) for c in ("key", "h", "start", "count", "anchor")]
+        return cls(width, *columns, np.concatenate([p.at + f for p, f in zip(parts, first.tolist())]), b"".join([p.data for p in parts]))
+
+    def in_order(self) -> Bundles:
+        """Earliest first: by key, h, start."""
+        order = np.lexsort((self.start, self.h))
+        return self.take(order[np.argsort(self.key[order], kind="stable")])
+
+    def buffer(self) -> np.ndarray:
+        return np.frombuffer(self.data + bytes(8), np.uint8)
+
+    def anchor_hashes(self) -> np.ndarray:
+        return _hash_at(_words(self.buffer()), self.at + self.anchor, gram_of(self.width))
+
+    def distinct(self) -> tuple[Bundles, Bundles]:
+        """(earliest of equal bytes, the others). self is in order; a bundle of a row that repeats wholly is in neither."""
+        words = _words(self.buffer())
+        # the first and the last suffix cover a bundle, as it has fewer suffixes than their width
+        content = _hash_at(words, self.at, self.width) * _ODD[1] + _hash_at(words, self.at + (self.count - 1), self.width) * _ODD[2] + self.count.astype(np.uint64)
+        order = np.argsort(content, kind="stable")
+        same = content[order]
+        first = np.append(True, same[1:] != same[:-1]) if len(order) else np.empty(0, bool)
+        lead = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+        later, lead = order[~first], lead[~first]
+        data, own, other = self.data, self.at[later].tolist(), self.at[lead].tolist()
+        equal = np.array([data[a:a + n] == data[b:b + n] for a, b, n in zip(own, other, self.sizes[later].tolist())], bool) & (self.count[later] == self.count[lead])
+        twice = equal & (self.key[later] == self.key[lead]) & (self.h[later] == self.h[lead]) & (self.start[later] == self.start[lead])
+        # what only hashes alike stays, as do bundles equal to one that hashes alike: their suffixes are sorted
+        stays = np.sort(np.concatenate([order[first], later[~equal]]))
+        return self.take(stays), self.take(later[equal & ~twice])
+
+    def dump(self) -> bytes:
+        data, at = self.data, self.at.tolist()
+        raw = b"".join([data[a:a + n] for a, n in zip(at, self.sizes.tolist())])
+        return pack(np.diff(self.key, prepend=np.int64(0)), self.h, self.start, self.count.astype(np.int32), self.anchor.astype(np.int32), np.frombuffer(raw, np.uint8))
+
+    @classmethod
+    def load(cls, width: int, dumped: bytes) -> Bundles:
+        key, h, start, count, anchor, raw = unpack(dumped, np.int64, np.int64, np.int64, np.int32, np.int32, np.uint8)
+        count = count.astype(np.int64)
+        sizes = count + (width - 1)
+        return cls(width, np.cumsum(key), h, start, count, anchor.astype(np.int64), np.cumsum(sizes) - sizes, raw.tobytes())
+
+
+def gram_of(width: int) -> int:
+    return max(1, min(GRAM, width // 3))
+
+
+def bundled(texts: list[bytes], keys: np.ndarray, hs: np.ndarray, width: int, heavy: np.ndarray | None) -> list[Bundles]:
+    """The bundles of the texts' suffixes of width bytes or more."""
+    out, gram = [], gram_of(width)
+    pieces = [(i, at, t[at:at + PIECE + width - 1]) for i, t in enumerate(texts) for at in range(0, max(len(t) - width + 1, 0), PIECE)]
     for a, b in by_size([p[2] for p in pieces], PIECE):
         part = pieces[a:b]
-        data = np.frombuffer(b"".join([p[2] for p in part]), np.uint8)
+        data = b"".join([p[2] for p in part])
         sizes = np.array([len(p[2]) for p in part])
         first = np.cumsum(sizes) - sizes
-        grams = Rolling(data, _BASES[0]).every(GRAM)
-        anchor = anchors(grams, width - GRAM + 1)
+        own = anchors(gram_hashes(np.frombuffer(data + bytes(8), np.uint8), gram), width - gram + 1, heavy)
         windows = sizes - width + 1
         start = np.repeat(first - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
-        own = anchor[start]
-        cut = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (start[1:] != start[:-1] + 1)))
+        own = own[start]
+        cut = _cuts((own[1:] != own[:-1]) | (start[1:] != start[:-1] + 1))
         at, count = start[cut], np.diff(np.append(cut, len(start)))
         piece = np.searchsorted(first, at, "right") - 1
-        content = Rolling(data, _BASES[1]).ranges(at, at + count + width - 1)
-        out.append((np.array([p[0] for p in part], np.int64)[piece], at - first[piece] + np.array([p[1] for p in part], np.int64)[piece], count, grams[own[cut]], content))
-    if not out:
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2
-    return tuple(np.concatenate(x) for x in zip(*out))
+        doc = np.array([p[0] for p in part])[piece]
+        out.append(Bundles(width, keys[doc], hs[doc], at - first[piece] + np.array([p[1] for p in part])[piece], count, own[cut] - at, at, data))
+    return out
 
 
 def merged(key: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans in order, those of a key that meet or overlap made one."""
+    """Spans sorted by key and start, those of a key that meet or overlap made one."""
     if not len(key):
         return key, start, stop
-    order = np.lexsort((start, key))
-    key, start, stop = key[order], start[order], stop[order]
-    new_key = np.append(True, key[1:] != key[:-1])
     # stops are lifted above all of earlier keys, so that one running maximum serves for all keys
-    lift = (np.cumsum(new_key) - 1) * (int(stop.max()) + 2)
+    lift = (np.cumsum(np.append(True, key[1:] != key[:-1])) - 1) * (int(stop.max()) + 2)
     reach = np.maximum.accumulate(stop + lift)
-    cut = np.flatnonzero(np.append(True, (start + lift)[1:] > reach[:-1]))
+    cut = _cuts((start + lift)[1:] > reach[:-1])
     return key[cut], start[cut], (reach - lift)[np.append(cut[1:], len(key)) - 1]
 
 
-def earliest(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, first): rows sorted by all columns, the last two being key and start; first marks the earliest of equal digits."""
-    order = np.lexsort(columns[::-1])
-    first = np.ones(len(order), bool)
-    if len(order):
-        same = np.ones(len(order) - 1, bool)
-        for c in columns[:-2]:
-            c = c[order]
-            same &= c[1:] == c[:-1]
-        first[1:] = ~same
-        # a row that repeats wholly is the same document: none of its windows starts earlier than itself
-        lead = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-        for c in columns[-2:]:
-            same = c[order] == c[order][lead] if c is columns[-2] else same & (c[order] == c[order][lead])
-        first |= same
-    return order, first
-
-
-def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "kind", "data"])
-
-
-def _table(rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    return pa.Table.from_batches([_batch(rows)])
-
-
-def _dealt(bucket: np.ndarray, n: int):
-    """(bucket, rows of it), in the order in which the rows came."""
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(n + 1))
-    for b in range(n):
-        if cuts[b] < cuts[b + 1]:
-            yield b, order[cuts[b]:cuts[b + 1]]
-
-
-def _home(key: np.ndarray, n: int) -> np.ndarray:
-    return (_mix(key.view(np.uint64)) % np.uint64(n)).astype(np.int64)
-
-
-def _spans(key, start, stop, n: int) -> list[tuple[int, int, bytes]]:
-    """Rows of removed spans for the buckets of their documents."""
-    key, start, stop = merged(key, start, stop)
-    return [(b, SPANS, pack_sorted(key[i], start[i], stop[i])) for b, i in _dealt(_home(key, n), n)]
-
-
-def _joined(parts: list[list[np.ndarray]], kinds) -> list[np.ndarray]:
-    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, k) for k in kinds]
-
-
-def _read(table: pa.Table, kind: int, *kinds) -> list[np.ndarray]:
-    parts = [unpack_sorted(d, *kinds) for k, d in zip(table.column("kind").to_pylist(), table.column("data").to_pylist()) if k == kind]
-    return _joined(parts, (np.int64, *kinds))
-
-
-def _texts(table: pa.Table):
-    """(keys, ids, nulls, texts) of the documents of a bucket."""
-    keys, ids, nulls, texts = [], [], [], []
-    for d in table.column("data").to_pylist():
-        k, i, z, sizes, raw = unpack(d, np.int64, np.int64, np.uint8, np.int64, np.uint8)
-        raw, at = raw.tobytes(), 0
-        for s in sizes.tolist():
-            texts.append(raw[at:at + s])
-            at += s
-        keys.append(k), ids.append(i), nulls.append(z)
-    return np.concatenate(keys), np.concatenate(ids), np.concatenate(nulls), texts
-
-
-def _with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, id, text): a bigint that orders documents. Ids serve unless one repeats."""
+def _spans(parts: list[tuple]) -> list[np.ndarray]:
+    """(key, h, start, stop) in order, those that meet made one."""
+    key, h, start, stop = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, np.int64),) * 4
+    if not len(key):
+        return [key, h, start, stop]
+    order = np.lexsort((start, h, key))
+    key, h, start, stop = key[order], h[order], start[order], stop[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))
+    doc, start, stop = merged(np.cumsum(new) - 1, start, stop)
+    lead = np.flatnonzero(new)[doc]
+    return [key[lead], h[lead], start, stop]
+
+
+def _whole(b: Bundles) -> tuple:
+    return b.key, b.h, b.start, b.start + b.sizes
+
+
+def repeated(group: np.ndarray, at: np.ndarray, digits: np.ndarray, width: int) -> np.ndarray:
+    """Which rows have an equal `width` bytes row before them in their group: most significant digits first, rows alone after a digit leave.
+
+    Rows of a group stand in order; digits holds the eight bytes from every place on, the first the most significant.
+    """
+    row = np.argsort(group, kind="stable")
+    for step in [None, *_steps(width)]:
+        own = group[row]
+        if step is not None:
+            digit = digits[at[row] + step]
+            order = np.lexsort((digit, own))
+            row, own, digit = row[order], own[order], digit[order]
+            changed = (own[1:] != own[:-1]) | (digit[1:] != digit[:-1])
+        else:
+            changed = own[1:] != own[:-1]
+        cut = _cuts(changed) if len(row) else np.empty(0, np.int64)
+        size = np.diff(np.append(cut, len(row)))
+        number = np.repeat(np.arange(len(cut)), size)
+        many = np.repeat(size > 1, size)
+        row, number = row[many], number[many]
+        group = group.copy() if step is None else group
+        group[row] = number
+        if not len(row):
+            return row
+    return row[np.append(False, group[row][1:] == group[row][:-1])]
+
+
+def sort_bucket(bundles: Bundles) -> list[tuple]:
+    """Spans (key, h, start, stop) of the repeated windows of a bucket."""
+    width = bundles.width
+    left, gone = bundles.in_order().distinct()
+    out = [_whole(gone)]
+    anchor = left.anchor_hashes()
+    order = np.argsort(anchor, kind="stable")
+    cut = _cuts(anchor[order][1:] != anchor[order][:-1]) if len(order) else np.empty(0, np.int64)
+    size = np.diff(np.append(cut, len(order)))
+    shared = order[np.repeat(size > 1, size)]
+    size = size[size > 1]
+    if not len(shared):
+        return out
+    total = np.cumsum(np.add.reduceat(left.count[shared], np.cumsum(size) - size))
+    # anchors are sorted some at a time, so that as many suffixes as fit are held as rows
+    turns = np.repeat(total // AT_ONCE, size)
+    number = np.repeat(np.arange(len(size)), size)
+    digits = _words(left.buffer(), ">")
+    for i in np.split(np.arange(len(shared)), _cuts(turns[1:] != turns[:-1])[1:]):
+        own = left.take(shared[i])
+        which = np.repeat(np.arange(len(own)), own.count)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(own.count) - own.count, own.count)
+        group = number[i][which] * width + own.anchor[which] - nth
+        again = np.sort(repeated(group, own.at[which] + nth, digits, width))
+        start = own.start[which[again]] + nth[again]
+        out.append((own.key[which[again]], own.h[which[again]], start, start + width))
+    return out
+
+
+def _dealt(bundles: Bundles, number: np.ndarray, spans: list[tuple]) -> pa.RecordBatch:
+    """A row of bundles for each number that has some, and the spans found on the way, which go along with any."""
+    order = np.argsort(number, kind="stable")
+    cut = _cuts(number[order][1:] != number[order][:-1]) if len(order) else np.empty(0, np.int64)
+    rows = [(int(number[order[a]]), 0, bundles.take(order[a:b]).dump()) for a, b in zip(cut.tolist(), np.append(cut[1:], len(order)).tolist())]
+    key, h, start, stop = _spans(spans)
+    if len(key):
+        rows.append((rows[int(h[0] % len(rows))][0] if rows else 0, 1, pack(np.diff(key, prepend=np.int64(0)), h, start, stop)))
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "kind", "data"])
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, h, id, text): key and h order documents."""
     rows = documents(docs, id_col, text_col).toDF("id", "text")
-    if rows.groupBy("id").count().where("count > 1").isEmpty():
-        return rows.select(F.coalesce("id", F.lit(NULL_KEY)).alias("key"), "id", "text")
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    ranks = rows.select("id", "h").distinct().withColumn("key", F.row_number().over(Window.orderBy(F.col("id").asc_nulls_first(), "h")).cast("bigint"))
-    ranks = ranks.toDF("i", "j", "key")
-    return rows.join(ranks, F.col("id").eqNullSafe(F.col("i")) & F.col("h").eqNullSafe(F.col("j"))).select("key", "id", "text")
+    return rows.select(F.coalesce(F.col("id").cast("bigint"), F.lit(NULL_KEY)).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.col("id").cast("bigint").alias("id"), "text")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 100, bucket_bytes: int = 8 << 20) -> DataFrame:
-    """(id_col, n_bytes, n_removed, n_spans, kept_sha256, spans array<struct<start, stop>>), one row per row of docs."""
-    n = buckets_for(docs, bucket_bytes)
-    rows = _with_key(docs, id_col, text_col)
-
-    def sort_bundles(batches):
-        held: list[tuple] = []
-
-        def flush():
-            key, start, count, anchor, content = (np.concatenate(x) for x in zip(*held))
-            order, first = earliest(anchor, content, key, start)
-            rest = order[~first]
-            out = _spans(key[rest], start[rest], start[rest] + count[rest] + width - 1, n)
-            own = np.sort(order[first])  # back in the order of documents, which packs well
-            for b, i in _dealt((anchor[own] >> np.uint64(32)).astype(np.int64) % n, n):
-                i = own[i]
-                i = i[np.lexsort((start[i], key[i]))]
-                out.append((b, BUNDLES, pack_sorted(key[i], start[i].astype(np.int32), count[i].astype(np.uint8), anchor[i].astype(np.uint32), content[i])))
-            held.clear()
-            return _batch(out)
-
-        size = 0
+def _read(width: int, heavy):
+    """Bundles of batches (key, h, text), some at a time, in order."""
+
+    def parts(batches):
+        held = []
         for b in batches:
-            keys, texts = b.column(0).to_numpy(), text_bytes(b.column(1))
-            for x, y in by_size(texts, PIECE):
-                held.append(bundles(texts[x:y], keys[x:y], width))
-                size += len(held[-1][0])
-                if size >= FLUSH:
-                    yield flush()
-                    size = 0
-        if size:
-            yield flush()
-
-    def sort_contents(table: pa.Table) -> pa.Table:
-        key, start, count, anchor, content = _read(table, BUNDLES, np.int32, np.uint8, np.uint32, np.uint64)
-        start, count = start.astype(np.int64), count.astype(np.int64)
-        order, first = earliest(anchor, content, key, start)
-        rest = order[~first]
-        spans = _read(table, SPANS, np.int64, np.int64)
-        out = _spans(np.append(spans[0], key[rest]), np.append(spans[1], start[rest]), np.append(spans[2], start[rest] + count[rest] + width - 1), n)
-        alone = order[first]
-        a = anchor[alone]
-        same = np.append(False, a[1:] == a[:-1]) if len(a) else np.empty(0, bool)
-        asked = alone[same | np.append(same[1:], False)] if len(a) else alone
-        asked = asked[np.lexsort((start[asked], key[asked]))]
-        out += [(b, ASKED, pack_sorted(key[asked[i]], start[asked[i]], count[asked[i]].astype(np.uint8))) for b, i in _dealt(_home(key[asked], n), n)]
-        return _table(out)
-
-    def pack_texts(batches):
+            keys, hs, texts = b.column(0).to_numpy(), b.column(1).to_numpy(), text_bytes(b.column(2))
+            for x, y in by_size(texts, 4 * PIECE):
+                held += bundled(texts[x:y], keys[x:y], hs[x:y], width, heavy)
+                if sum(map(len, held)) >= FLUSH:
+                    yield Bundles.joined(width, held).in_order()
+                    held = []
+        if held:
+            yield Bundles.joined(width, held).in_order()
+
+    return parts
+
+
+def heavy_grams(rows: DataFrame, width: int, total: int) -> np.ndarray | None:
+    """A table that tells grams with many contexts by their hash's low bits; others may share their places, which does no harm."""
+    some = rows.where(F.pmod("h", F.lit(max(1, min(SAMPLE, total // SAMPLE_BYTES)))) == 0).select("key", "h", "text")
+
+    def counted(batches):
+        for b in _read(width, None)(batches):
+            left, _ = b.distinct()
+            gram, n = np.unique(left.anchor_hashes().view(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], names=["gram", "n"])
+
+    top = some.mapInArrow(counted, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= CONTEXTS)
+    found = top.orderBy(F.desc("n"), "gram").limit(MOST_HEAVY).select("gram").toPandas()
+    if not len(found):
+        return None
+    table = np.zeros(TABLE, bool)
+    table[found["gram"].to_numpy(np.int64) & (TABLE - 1)] = True
+    return table
+
+
+def repeated_spans(rows: DataFrame, width: int, n: int, total: int) -> DataFrame:
+    """(key, h, start, stop): spans to remove, some of which may meet. rows: key, h, text."""
+    shared = rows.sparkSession.sparkContext.broadcast(heavy_grams(rows, width, total))  # TABLE bytes
+    # divisors of a bucket's number that leave its digits, the most significant first
+    digits = next(p for p in range(1, 64) if FAN ** p >= n)
+    size = next(x for x in range(max(1, int(n ** (1 / digits))), n + 2) if x ** digits >= n)
+    passes = [size ** i for i in range(digits - 1, -1, -1)]
+
+    def deal(parts, divisor: int):
+        for bundles in parts:
+            left, gone = bundles.distinct()
+            bucket = (left.anchor_hashes() >> np.uint64(32)) % np.uint64(n)
+            yield _dealt(left, bucket.astype(np.int64) // divisor, [_whole(gone)])
+
+    def first(batches):
+        yield from deal(_read(width, shared.value)(batches), passes[0])
+
+    def again(divisor: int):
+        def dealt(batches):
+            held = []
+            for b in batches:
+                spans = np.array(b.column(1).to_pylist()) == 1
+                yield b.filter(pa.array(spans))
+                for d in b.filter(pa.array(~spans)).column(2).to_pylist():
+                    held.append(Bundles.load(width, d))
+                    if sum(map(len, held)) >= FLUSH:
+                        yield from deal([Bundles.joined(width, held).in_order()], divisor)
+                        held = []
+            if held:
+                yield from deal([Bundles.joined(width, held).in_order()], divisor)
+
+        return dealt
+
+    def sort(table: pa.Table) -> pa.Table:
+        rows = list(zip(table.column("kind").to_pylist(), table.column("data").to_pylist()))
+        bundles = Bundles.joined(width, [Bundles.load(width, d) for k, d in rows if not k])
+        found = _spans([_load_spans(d) for k, d in rows if k] + sort_bucket(bundles))
+        return pa.Table.from_arrays([pa.array(x) for x in found], names=["key", "h", "start", "stop"])
+
+    dealt = rows.select("key", "h", "text").mapInArrow(first, BUNDLES)
+    for divisor in passes[1:]:
+        dealt = dealt.repartition("bucket").mapInArrow(again(divisor), BUNDLES)
+    return dealt.groupBy("bucket").applyInArrow(lambda t: sort(t), SPANS)
+
+
+def _load_spans(data: bytes) -> tuple:
+    key, h, start, stop = unpack(data, np.int64, np.int64, np.int64, np.int64)
+    return np.cumsum(key), h, start, stop
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 100, bucket_bytes: int = 4 << 20) -> DataFrame:
+    """(id_col, n_bytes, n_removed, n_spans, kept_sha256, spans array<struct<start, stop>>), one row per row of docs."""
+    if width < 8:
+        raise ValueError("windows have 8 bytes at least")
+    rows = _keyed(docs, id_col, text_col)
+    spans = materialize(repeated_spans(rows, width, buckets_for(docs, bucket_bytes), input_bytes(docs)))
+
+    def cut(batches):
+        waiting = None  # spans of the document whose text is still to come
         for b in batches:
-            keys, texts = b.column(0).to_numpy(), text_bytes(b.column(2))
-            nulls = b.column(1).is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
-            ids = b.column(1).fill_null(0).to_numpy().astype(np.int64)
-            sizes = np.array([len(t) for t in texts], np.int64)
-            out = []
-            for h, i in _dealt(_home(keys, n), n):
-                out.append((h, TEXTS, pack(keys[i], ids[i], nulls[i], sizes[i], np.frombuffer(b"".join([texts[j] for j in i.tolist()]), np.uint8))))
-            if out:
-                yield _batch(out)
-
-    def sort_windows(texts: pa.Table, found: pa.Table) -> pa.Table:
-        spans = _read(found, SPANS, np.int64, np.int64)
-        key, start, count = _read(found, ASKED, np.int64, np.uint8)
-        own, _, _, data = _texts(texts) if len(texts) else (np.empty(0, np.int64), None, None, [])
-        place = {k: i for i, k in reversed(list(enumerate(own.tolist())))}
-        hashes = []
-        cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
-        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(key)).tolist() if len(cuts) else []):
-            low, high = int(start[a:b].min()), int((start[a:b] + count[a:b]).max()) + width - 1
-            part = np.frombuffer(data[place[int(key[a])]][low:high], np.uint8)
-            c = count[a:b].astype(np.int64)
-            at = np.repeat(start[a:b] - low - (np.cumsum(c) - c), c) + np.arange(c.sum())
-            x, y = (Rolling(part, base).ranges(at, at + width) for base in _BASES[1:])
-            hashes.append((x, y.astype(np.uint32), np.full(len(at), key[a]), at + low))
-        x, y, k, s = (np.concatenate(z) for z in zip(*hashes)) if hashes else (np.empty(0, t) for t in (np.uint64, np.uint32, np.int64, np.int64))
-        order, first = earliest(x, y, k, s)
-        rest = order[~first]
-        out = _spans(np.append(spans[0], k[rest]), np.append(spans[1], s[rest]), np.append(spans[2], s[rest] + width), n)
-        own = np.sort(order[first])
-        out += [(b, BUNDLES, pack_sorted(k[own[i]], s[own[i]].astype(np.int32), y[own[i]], x[own[i]])) for b, i in _dealt((x[own] >> np.uint64(32)).astype(np.int64) % n, n)]
-        return _table(out)
-
-    def sort_last(table: pa.Table) -> pa.Table:
-        spans = _read(table, SPANS, np.int64, np.int64)
-        k, s, y, x = _read(table, BUNDLES, np.int32, np.uint32, np.uint64)
-        s = s.astype(np.int64)
-        order, first = earliest(x, y, k, s)
-        rest = order[~first]
-        return _table(_spans(np.append(spans[0], k[rest]), np.append(spans[1], s[rest]), np.append(spans[2], s[rest] + width), n))
-
-    def cut(texts: pa.Table, found: pa.Table) -> pa.Table:
-        if not len(texts):
-            return pa.Table.from_pylist([], _RESULT)
-        key, start, stop = merged(*_read(found, SPANS, np.int64, np.int64))
-        own, ids, nulls, data = _texts(texts)
-        low, high = np.searchsorted(key, own), np.searchsorted(key, own, "right")
-        out: list[list] = [[] for _ in range(6)]
-        for i, t in enumerate(data):
-            a, b = int(low[i]), int(high[i])
-            spans = list(zip(start[a:b].tolist(), stop[a:b].tolist()))
-            h, at = hashlib.sha256(), 0
-            for x, y in spans:
-                h.update(t[at:x])
-                at = y
-            h.update(t[at:])
-            for c, v in zip(out, (None if nulls[i] else int(ids[i]), len(t), sum(y - x for x, y in spans), len(spans), h.hexdigest(), [{"start": x, "stop": y} for x, y in spans])):
-                c.append(v)
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(out, _RESULT)], schema=_RESULT)
-
-    # one partition of shuffled groups after another: a bucket is about bucket_bytes of input whatever the table's size
-    texts = rows.select("key", "id", "text").mapInArrow(pack_texts, ROWS).groupBy("bucket")
-    by_anchor = rows.select("key", "text").mapInArrow(sort_bundles, ROWS)
-    by_content = by_anchor.groupBy("bucket").applyInArrow(lambda t: sort_contents(t), ROWS)
-    by_window = texts.cogroup(by_content.groupBy("bucket")).applyInArrow(lambda a, b: sort_windows(a, b), ROWS)
-    last = by_window.groupBy("bucket").applyInArrow(lambda t: sort_last(t), ROWS)
-    done = texts.cogroup(last.groupBy("bucket")).applyInArrow(lambda a, b: cut(a, b), "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:bigint,stop:bigint>>")
+            kind, start, stop = (b.column(i).to_numpy().astype(np.int64) for i in (2, 3, 4))
+            key, h = b.column(0).to_numpy(), b.column(1).to_numpy()
+            if waiting is not None:
+                key, h, kind, start, stop = (np.concatenate(x) for x in zip(waiting, (key, h, kind, start, stop)))
+            new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))
+            doc = np.cumsum(new) - 1
+            at = np.flatnonzero(kind == 1)
+            span = np.flatnonzero(kind == 0)
+            of, low, high = merged(doc[span], start[span], stop[span])
+            texts = text_bytes(b.column(6).filter(pa.array(b.column(2).to_numpy() == 1)))
+            ids = b.column(5).filter(pa.array(b.column(2).to_numpy() == 1))
+            out: list[list] = [[] for _ in range(5)]
+            ends = np.searchsorted(of, doc[at], "left").tolist(), np.searchsorted(of, doc[at], "right").tolist()
+            low, high = low.tolist(), high.tolist()
+            for t, x, y in zip(texts, *ends):
+                kept, last, view = hashlib.sha256(), 0, memoryview(t)
+                for p, q in zip(low[x:y], high[x:y]):
+                    kept.update(view[last:p])
+                    last = q
+                kept.update(view[last:])
+                for c, v in zip(out, (len(t), sum(high[x:y]) - sum(low[x:y]), y - x, kept.hexdigest(), [{"start": p, "stop": q} for p, q in zip(low[x:y], high[x:y])])):
+                    c.append(v)
+            # the last document's spans wait, for its text or for rows that repeat it
+            rest = (doc == doc[-1]) & (kind == 0) if len(doc) else np.empty(0, bool)
+            waiting = tuple(x[rest] for x in (key, h, kind, start, stop)) if rest.any() else None
+            if len(texts):
+                yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, f.type) for c, f in zip(out, list(_RESULT)[1:])]], schema=_RESULT)
+
+    null = lambda kind: F.lit(None).cast(kind)
+    texts = rows.select("key", "h", F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("stop"), "id", "text")
+    both = spans.select("key", "h", F.lit(0).alias("kind"), "start", "stop", null("bigint").alias("id"), null("string").alias("text")).unionByName(texts)
+    dealt = both.repartition(partitions_for(docs), "key", "h").sortWithinPartitions("key", "h", "kind", "start")
+    done = dealt.mapInArrow(cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:bigint,stop:bigint>>")
     return done.withColumnRenamed("id", id_col)
 
 

@@ -337,40 +337,66 @@ def test_mixing(spark, hard, empty):
 
 
 def brute_repeats(rows, width):
-    order = sorted({(i is not None, i or 0, t or "") for i, t in rows})
+    """Documents in the order of id (null first), then of the text's 64-bit hash."""
+    import xxhash
+
+    hashed = lambda t: np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).view(np.int64)
+    order = sorted({(i is not None, i or 0, hashed(t or ""), t or "") for i, t in rows})
     seen, out = set(), {}
-    for _, i, t in order:
+    for there, i, _, t in order:
         b = t.encode()
         gone = bytearray(len(b))
         for p in range(len(b) - width + 1):
             if b[p:p + width] in seen:
                 gone[p:p + width] = b"\1" * width
             seen.add(b[p:p + width])
-        out[i, t] = (len(b), sum(gone), sum(1 for k, g in enumerate(gone) if g and not (k and gone[k - 1])), hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest())
+        out[i if there else None, t] = (len(b), sum(gone), sum(1 for k, g in enumerate(gone) if g and not (k and gone[k - 1])), hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest())
     return out
 
 
-def test_suffix_dedup_with_unique_ids(spark, empty):
-    rows = {i: (i, t) for i, t, *_ in hard_rows() if i is not None}
+def spliced_rows():
+    """Texts that share passages, wholly and in part, with ids that repeat, null ids, nulls and repeated rows."""
     rng = random.Random(4)
-    for i in range(20, 60):
-        a = words(rng, rng.randrange(5, 80))
-        rows[i] = (i, a + rows[rng.choice(list(rows))][1][:rng.randrange(400)] + a if rows[i - 10 if i > 29 else 1][1] else a)
-    want = brute_repeats(rows.values(), 100)
-    df = spark.createDataFrame(list(rows.values()), "doc_id long, text string").repartition(5)
-    for r in suffix_dedup.remove_repeats(df).collect():
-        assert tuple(r)[1:5] == want[r["doc_id"], rows[r["doc_id"]][1] or ""], r["doc_id"]
-    assert suffix_dedup.remove_repeats(empty).count() == 0
-
-
-def test_suffix_dedup_with_pieces_repeats_and_nulls(spark, hard, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "PIECE", 700)
-    rows = [(r[0], r[1]) for r in hard_rows() if r[0] not in (10,)]
-    df = spark.createDataFrame(rows + [(10, "q" * 150), (10, "q" * 150)], "doc_id long, text string")
-    got = suffix_dedup.remove_repeats(df).collect()
-    assert len(got) == len(rows) + 2
-    same = [tuple(r)[1:5] for r in got if r["doc_id"] == 10]
-    assert same[0] == same[1] and same[0][1] == 149
+    rows = [(r[0], r[1]) for r in hard_rows()]
+    texts = [t for _, t in rows if t]
+    for i in range(20, 70):
+        a, other = words(rng, rng.randrange(5, 80)), rng.choice(texts)
+        at = rng.randrange(len(other))
+        texts.append(a + other[at:at + rng.randrange(500)] + words(rng, rng.randrange(30)))
+        rows.append((i if i % 7 else rng.choice([20, None]), texts[-1]))
+    return rows + rows[30:34]
+
+
+@pytest.mark.parametrize("settings", [{}, {"PIECE": 700, "FLUSH": 50, "FAN": 3}, {"SAMPLE": 1, "CONTEXTS": 1, "AT_ONCE": 64}])
+@pytest.mark.parametrize("width", [100, 40])
+def test_suffix_dedup(spark, empty, monkeypatch, settings, width):
+    """In one pass and in several, with pieces that cut documents, and with every shared gram heavy."""
+    for k, v in settings.items():
+        monkeypatch.setattr(suffix_dedup, k, v)
+    rows = spliced_rows()
+    want = brute_repeats(rows, width)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [tuple(r)[:5] for r in suffix_dedup.remove_repeats(df, width=width).collect()]
+    assert sorted(map(str, got)) == sorted(str((i, *want[i, t or ""])) for i, t in rows)
+    if width == 40 and not settings:
+        assert suffix_dedup.remove_repeats(empty).count() == 0
+
+
+def test_windows_wider_than_a_byte_counts(spark):
+    base = "".join(chr(97 + i * i % 26) + str(i) for i in range(400))
+    df = spark.createDataFrame([(1, base), (2, "x" + base + "y")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(df, width=600).collect()}
+    assert got == {1: 0, 2: len(base)}
+
+
+def test_unequal_bundles_of_equal_hash_are_kept_apart(monkeypatch):
+    """With a hash that tells nothing apart, bytes decide."""
+    monkeypatch.setattr(suffix_dedup, "_hash_at", lambda words, at, width: np.zeros(len(at), np.uint64))
+    texts = [b"a" * 50 + bytes(range(32, 122)) + b"b" * 50, b"c" * 60 + bytes(range(32, 122)) + b"d" * 40, bytes(range(122, 32, -1)) * 2]
+    parts = suffix_dedup.bundled(texts, np.arange(3), np.zeros(3, np.int64), 60, None)
+    key, _, start, stop = suffix_dedup._spans(suffix_dedup.sort_bucket(suffix_dedup.Bundles.joined(60, parts)))
+    want = brute_repeats([(i, t.decode()) for i, t in enumerate(texts)], 60)
+    assert [(int((stop - start)[key == i].sum()), int((key == i).sum())) for i in range(3)] == [want[i, t.decode()][1:3] for i, t in enumerate(texts)]
 
 
 # -------------------------------------------------------------- 10
