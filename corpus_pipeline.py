@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftworks.llm import bpe, exact_dedup, mixing, near_sets, toxicity
+from siftworks.llm import bpe, exact_dedup, mixing, simhash, toxicity
 from siftworks.llm.common import checkpoint_dir
 
 
@@ -25,8 +25,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup: of each group linked by five-word shingles at similarity 0.8 or more the document with the least id stays."""
-    return near_sets.drop_near_duplicates(docs)
+    """SimHash near-dedup: of each group linked by five-word shingles at similarity 0.8 or more the document with the least id stays."""
+    return simhash.drop_near_duplicates(docs, width=5, similarity=0.8)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

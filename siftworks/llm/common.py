@@ -54,6 +54,23 @@ def partitions_for(df: DataFrame, bytes_each: int = 128 << 20) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // bytes_each))
 
 
+#: Keys that are joined apart, by a broadcast, and the rows from which on a key may be one of them.
+MOST_HOT, HOT_ROWS = 4096, 1 << 13
+
+
+def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """rows joined (inner) with table, which has one row a key and in `count` the number of rows of that key.
+
+    The at most MOST_HOT most frequent keys are joined by a broadcast, so no task gets all rows of one; any other key has
+    less than one in MOST_HOT of the rows.
+    """
+    hot = materialize(table.where(F.col(count) > HOT_ROWS).orderBy(F.desc(count), *keys).limit(MOST_HOT))
+    if hot.isEmpty():
+        return rows.join(table, keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(table, keys))
+
+
 #: Rows of an Arrow batch: whole documents are long, so Spark's 10,000 could be a gigabyte.
 BATCH_ROWS = 1000
 
@@ -119,11 +136,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays as one compressed string of bytes."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.array([a.nbytes for a in arrays], np.int64).tobytes(), *[np.ascontiguousarray(a).tobytes() for a in arrays]]))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join([np.array([a.nbytes for a in arrays], np.int64).tobytes(), *[np.ascontiguousarray(a).tobytes() for a in arrays]]))
 
 
 def unpack(data: bytes, *kinds) -> list[np.ndarray]:

@@ -3,11 +3,12 @@
 A document's fingerprint has bit b set if more than half of its shingles' XXH64 values have. Distinct fingerprints (one
 row for all documents that share one) are compared; copies never meet. The 64 bits are cut into 5 fields; two
 fingerprints at 3 or fewer differing bits agree on at least 2 whole fields, so 10 tables keyed by 2 fields each
-(25 or 26 bits) hold every such pair in some bucket. Inside a bucket the fingerprints are stored as vertical bit planes,
-64 rows a word; all distances of a row to a word's 64 rows are updated together by carry-save counters, and words in
-which every lane is beyond the radius are abandoned as the planes go by. A bucket gives a spanning forest of its links,
-never all pairs. Buckets above `block` rows are cut into blocks and each pair of blocks is a group of its own, so none
-outgrows a task.
+(25 or 26 bits) hold every such pair in some bucket. Buckets are compared on vertical bit planes (`bit_slices`). Buckets
+above `block` rows are cut into blocks and each pair of blocks is a group of its own, so none outgrows a task; a
+fingerprint of very many documents is joined with them by a broadcast.
+
+With `similarity=0.8` links are those of sets of shingles instead (`near_sets`): fingerprints propose, sets decide, and
+what fingerprints don't propose is compared as well.
 
 Nulls and empty texts have no words: their fingerprint is zero, linked like any other. Fewer words than a shingle: the
 whole sequence is the one shingle. Rows that repeat get equal rows. A null doc_id is never the least of a component
@@ -23,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_place, documents, materialize, text_bytes
+from . import near_sets
+from .bit_slices import BITS, forest
+from .common import by_place, documents, join_hot, materialize, text_bytes
 from .components import components
-
-BITS = 64
 FIELDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TABLES = list(combinations(range(len(FIELDS)), 2))
 
@@ -67,88 +68,6 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
     return documents(docs, id_col, text_col).mapInArrow(hashed, f"id {dict(docs.dtypes)[id_col]}, fp bigint")
 
 
-def bit_planes(fps: np.ndarray, starts: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """64 x words planes: bit j of a word of plane b is bit b of the word's j-th row. starts, words: each bucket's first row and its number of words."""
-    sizes = np.diff(np.append(starts, len(fps)))
-    first = np.cumsum(words) - words
-    lane = np.arange(len(fps)) - np.repeat(starts, sizes)
-    word = np.repeat(first, sizes) + lane // 64
-    out = np.zeros((BITS, int(words.sum())), np.uint64)
-    at = np.uint64(1) << (lane % 64).astype(np.uint64)
-    for b in range(BITS):
-        np.bitwise_or.at(out[b], word, np.where(fps >> np.uint64(b) & np.uint64(1), at, np.uint64(0)))
-    return out
-
-
-def near_lanes(planes: np.ndarray, queries: np.ndarray, word: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each (query, word): the word's lanes within the radius, as a bit mask; only items with such lanes are returned.
-
-    Carry-save counters: bit i of a lane's distance stands in counter i; once it passes the radius it stays `over`.
-    """
-    assert radius in (1, 3, 7), "a power of two less one: one carry out of the counters means beyond it"
-    width, item = radius.bit_length(), np.arange(len(queries))
-    counters = [np.zeros(len(item), np.uint64) for _ in range(width)]
-    over = np.zeros(len(item), np.uint64)
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
-    for b in range(BITS):
-        carry = planes[b][word] ^ (np.uint64(0) - (queries >> np.uint64(b) & np.uint64(1)))
-        for c in counters:
-            carry, c[:] = c & carry, c ^ carry
-        over |= carry
-        if b % 8 == 7 and len(item):  # abandon the words all of whose lanes are beyond the radius
-            on = over != full
-            if on.sum() < 0.75 * len(on):
-                item, word, queries, over = item[on], word[on], queries[on], over[on]
-                counters = [c[on] for c in counters]
-    on = over != full
-    return item[on], ~over[on]
-
-
-def forest(fps: np.ndarray, bucket: np.ndarray, radius: int, lanes_at_once: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
-    """(row, root) of a spanning forest of the links inside each bucket; rows are sorted by bucket."""
-    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-    sizes = np.diff(np.append(starts, len(fps)))
-    many = np.repeat(sizes > 1, sizes)
-    rows = np.flatnonzero(many)
-    label = np.arange(len(fps))
-    if not len(rows):
-        return rows, rows
-    starts, sizes = np.cumsum(sizes[sizes > 1]) - sizes[sizes > 1], sizes[sizes > 1]
-    own, words = fps[rows], -(-sizes // 64)
-    planes, first = bit_planes(own, starts, words), np.cumsum(words) - words
-    label = np.arange(len(own))
-    per_row, row_first, row_start = np.repeat(words, sizes), np.repeat(first, sizes), np.repeat(starts, sizes)
-    ends = np.cumsum(per_row)
-    at = 0
-    while at < len(own):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + lanes_at_once // 64, "right")))
-        q = np.repeat(np.arange(at, to), per_row[at:to])
-        w = np.arange(len(q)) - np.repeat(np.cumsum(per_row[at:to]) - per_row[at:to], per_row[at:to])
-        item, mask = near_lanes(planes, own[q], row_first[q] + w, radius)
-        if len(item):
-            bits = np.unpackbits(mask.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            k, lane = np.nonzero(bits)
-            a, b = q[item[k]], row_start[q[item[k]]] + w[item[k]] * 64 + lane
-            keep = b < np.repeat(starts + sizes, sizes)[a]
-            _hook(label, a[keep], b[keep])
-        at = to
-    away = label != np.arange(len(label))
-    return rows[away], rows[label[away]]
-
-
-def _hook(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    while len(a):
-        x, y = label[a], label[b]
-        off = x != y
-        if not off.any():
-            return
-        a, b, x, y = a[off], b[off], x[off], y[off]
-        low, high = np.minimum(x, y), np.maximum(x, y)
-        np.minimum.at(label, high, low)
-        while (label[label] != label).any():
-            label[:] = label[label]
-
-
 def links(distinct: DataFrame, radius: int, block: int) -> DataFrame:
     """(child, parent) links between distinct fingerprints: a spanning forest of every bucket."""
     field = [F.shiftrightunsigned("fp", at).bitwiseAND((1 << n) - 1) for at, n in FIELDS]
@@ -187,18 +106,25 @@ def links(distinct: DataFrame, radius: int, block: int) -> DataFrame:
     return dealt.mapInArrow(compared, "child bigint, parent bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, block: int = 4096) -> DataFrame:
-    """One row per row of docs: id_col, fingerprint (16 hex digits), component_id (least id reachable by links of at most radius bits)."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, block: int = 4096, similarity: float | None = None) -> DataFrame:
+    """One row per row of docs: id_col, fingerprint (16 hex digits), component_id (least id reachable by links of at most radius bits).
+
+    With a similarity there is no fingerprint column, and links are those of sets of runs of width words.
+    """
+    if similarity is not None:
+        if similarity * near_sets.DEN != near_sets.NUM:
+            raise ValueError("sets are compared at a similarity of 0.8")
+        return near_sets.similar_groups(docs, id_col, text_col, width)
     if radius != 3:
         raise ValueError("the tables hold every pair up to radius 3; other radii need other fields")
     prints = materialize(fingerprints(docs, id_col, text_col, width))
-    distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    reached = components(links(distinct, radius, block))
+    distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")))
+    reached = components(links(distinct.select("fp"), radius, block))
     root = distinct.join(reached.withColumnRenamed("child", "fp"), "fp", "left").withColumn("root", F.coalesce("parent", "fp"))
-    least = root.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = root.select("fp", "root").join(least, "root").select("fp", "component_id")
+    least = root.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"))
+    classes = materialize(join_hot(materialize(root.select("fp", "root", "n")), least, ["root"], "m").select("fp", "component_id", "n"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(classes, "fp").select(F.col("id").alias(id_col), digits.alias("fingerprint"), "component_id")
+    return join_hot(prints, classes, ["fp"], "n").select(F.col("id").alias(id_col), digits.alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from siftworks.llm import near_sets
+from siftworks.llm import common, near_sets, simhash
 
 from .test_operators import empty, hard, hard_rows  # noqa: F401
 
@@ -55,23 +56,37 @@ def edited_rows():
 
 
 def got(df):
-    return sorted((str(r["doc_id"]), str(r["component_id"])) for r in near_sets.near_duplicates(df).collect())
+    return sorted((str(r["doc_id"]), str(r["component_id"])) for r in simhash.near_duplicates(df, width=5, similarity=0.8).collect())
 
 
-@pytest.mark.parametrize("block,few,sample", [(512, 1 << 18, 1 << 15), (4, 0, 20)])
-def test_near_sets(spark, monkeypatch, block, few, sample):
-    monkeypatch.setattr(near_sets, "BLOCK", block)
-    monkeypatch.setattr(near_sets, "FEW", few)
-    monkeypatch.setattr(near_sets, "SAMPLE", sample)
+@pytest.mark.parametrize("settings", [{}, {"BLOCK": 4, "FEW": 0, "SAMPLE": 20}, {"PART": 3}, {"RADIUS": 1}])
+def test_near_sets(spark, monkeypatch, settings):
+    """Also with small blocks, with joins in place of broadcasts, with buckets in many parts and with fingerprints that propose next to nothing."""
+    for k, v in settings.items():
+        monkeypatch.setattr(near_sets, k, v)
+    monkeypatch.setattr(common, "HOT_ROWS", 5 if "PART" in settings else 1 << 13)
     rows = edited_rows()
     want = brute(rows)
     assert 10 < sum(a != b for a, b in want) < len(rows) - 10
     assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == want
 
 
+def test_sketches_never_refuse_similar_sets():
+    rng = np.random.default_rng(3)
+    refused = 0
+    for _ in range(300):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.uniform(0.5, 1)], rng.integers(0, 1 << 63, int(rng.integers(0, n // 4 + 1)), dtype=np.uint64)]))
+        may = near_sets.may_be_similar(near_sets.sketch(a), near_sets.sketch(b))
+        assert may or not near_sets.similar(a.tobytes(), b.tobytes())
+        refused += not may
+    assert refused > 50
+
+
 def test_near_sets_hard_rows(hard, empty):  # noqa: F811
     assert got(hard) == brute([(r[0], r[1]) for r in hard_rows()])
-    assert near_sets.near_duplicates(empty).count() == 0
+    assert simhash.near_duplicates(empty, width=5, similarity=0.8).count() == 0
 
 
 def test_pipeline_drops_copies_at_four_fifths(spark):
