@@ -4,8 +4,8 @@ Suffixes are ordered by their first `width` bytes only. A suffix that stands alo
 again; the groups left after the last digit are exactly the repeated windows, and all of a group but the earliest are
 removed. One row a suffix would shuffle more than ten times the input, so neighbours travel together:
 
-1. The first digit is a suffix's anchor: of the 32-byte grams of its window the lightest (leftmost of equals). Equal
-   windows have equal anchors at equal places. Neighbouring suffixes with one anchor are a bundle, about 35 of them,
+1. The first digit is a suffix's anchor: of the 16-byte grams of its window the lightest (leftmost of equals). Equal
+   windows have equal anchors at equal places. Neighbouring suffixes with one anchor are a bundle, about 40 of them,
    which travels once, with its bytes. Bundles are dealt to buckets by the anchor, `FAN` at a time: where there are
    more buckets, they are dealt in two or more passes, most significant part of the bucket's number first.
 2. In a bucket, of bundles with equal bytes the earliest stands for all; every window of the others is repeated. The
@@ -34,11 +34,13 @@ from pyspark.sql import functions as F
 
 from .common import buckets_for, by_size, documents, input_bytes, materialize, mix, pack, partitions_for, text_bytes, unpack
 
-GRAM = 32
+GRAM = 16
 PIECE = 1 << 18
 FLUSH = 1 << 18
+#: Of the compression of bundles: what they are made of moves once, so time is spent on size.
+LEVEL = 6
 #: Suffixes that a bucket sorts at once, unless one anchor has more.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 #: Buckets that one pass deals to.
 FAN = 8192
 NULL_KEY = -(1 << 63)
@@ -153,7 +155,7 @@ class Bundles:
     def dump(self) -> bytes:
         data, at = self.data, self.at.tolist()
         raw = b"".join([data[a:a + n] for a, n in zip(at, self.sizes.tolist())])
-        return pack(np.diff(self.key, prepend=np.int64(0)), self.h, self.start, self.count.astype(np.int32), self.anchor.astype(np.int32), np.frombuffer(raw, np.uint8))
+        return pack(np.diff(self.key, prepend=np.int64(0)), self.h, self.start, self.count.astype(np.int32), self.anchor.astype(np.int32), np.frombuffer(raw, np.uint8), level=LEVEL)
 
     @classmethod
     def load(cls, width: int, dumped: bytes) -> Bundles:
@@ -383,7 +385,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = _keyed(docs, id_col, text_col)
     spans = materialize(repeated_spans(rows, width, buckets_for(docs, bucket_bytes), input_bytes(docs)))
 
+    def packed(batches):
+        import zstandard
+
+        small = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(map(small.compress, text_bytes(b.column(3))), pa.binary())], names=["key", "h", "id", "text"])
+
     def cut(batches):
+        import zstandard
+
         waiting = None  # spans of the document whose text is still to come
         for b in batches:
             kind, start, stop = (b.column(i).to_numpy().astype(np.int64) for i in (2, 3, 4))
@@ -395,7 +406,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             at = np.flatnonzero(kind == 1)
             span = np.flatnonzero(kind == 0)
             of, low, high = merged(doc[span], start[span], stop[span])
-            texts = text_bytes(b.column(6).filter(pa.array(b.column(2).to_numpy() == 1)))
+            unpacked = zstandard.ZstdDecompressor()
+            texts = [unpacked.decompress(t) for t in b.column(6).filter(pa.array(b.column(2).to_numpy() == 1)).to_pylist()]
             ids = b.column(5).filter(pa.array(b.column(2).to_numpy() == 1))
             out: list[list] = [[] for _ in range(5)]
             ends = np.searchsorted(of, doc[at], "left").tolist(), np.searchsorted(of, doc[at], "right").tolist()
@@ -415,8 +427,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, f.type) for c, f in zip(out, list(_RESULT)[1:])]], schema=_RESULT)
 
     null = lambda kind: F.lit(None).cast(kind)
-    texts = rows.select("key", "h", F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("stop"), "id", "text")
-    both = spans.select("key", "h", F.lit(0).alias("kind"), "start", "stop", null("bigint").alias("id"), null("string").alias("text")).unionByName(texts)
+    texts = rows.mapInArrow(packed, "key bigint, h bigint, id bigint, text binary").select("key", "h", F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("stop"), "id", "text")
+    both = spans.select("key", "h", F.lit(0).alias("kind"), "start", "stop", null("bigint").alias("id"), null("binary").alias("text")).unionByName(texts)
     dealt = both.repartition(partitions_for(docs), "key", "h").sortWithinPartitions("key", "h", "kind", "start")
     done = dealt.mapInArrow(cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:bigint,stop:bigint>>")
     return done.withColumnRenamed("id", id_col)
