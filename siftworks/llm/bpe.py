@@ -28,7 +28,7 @@ from .common import Recent, documents
 #: White space of the pattern's engine: Unicode White_Space, without the separators \x1c-\x1f.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 #: Letters up to here are the same in every Unicode version; beyond, the library's own pre-split is asked.
-_LATIN = "ɏ"
+LATIN = "ɏ"
 
 
 def byte_symbols() -> list[str]:
@@ -58,7 +58,7 @@ class WordCodec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
-        self.beyond = re.compile(f"[^\0-{_LATIN}]")
+        self.beyond = re.compile(f"[^\0-{LATIN}]")
         self.symbols = byte_symbols()
         self.of_word = Recent(self._word, 100_000)
         self.of_piece = Recent(self._piece, 100_000)

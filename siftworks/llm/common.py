@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,6 +112,28 @@ def by_size(texts: list[bytes], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def regrouped(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about `most` bytes in column `text`, in the same order; one longer text is with what is next to it."""
+    held, size = [], 0
+    for b in batches:
+        sizes = pc.binary_length(b.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(sizes), 0
+        while at < len(sizes):
+            to = min(len(sizes), int(np.searchsorted(ends, most - size + (ends[at - 1] if at else 0))) + 1)
+            held.append(b.slice(at, to - at))
+            size += int(sizes[at:to].sum())
+            at = to
+            if size >= most:
+                yield from _one(held)
+                held, size = [], 0
+    if held:
+        yield from _one(held)
+
+
+def _one(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()
+
+
 class Recent(dict):
     """A bounded cache in two generations: when the young one is full it becomes the old one."""
 

@@ -14,6 +14,7 @@ table: no files with rows, no result.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -22,15 +23,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import tokenizer_path
-from .common import buckets_for, checkpoint_dir, documents, materialize
+from .bpe import LATIN, byte_symbols, tokenizer_path
+from .common import Recent, buckets_for, checkpoint_dir, documents, materialize, regrouped
 from .perfect_hash import PerfectHash, mix
 
 SEGMENT_TOKENS = 1 << 18
 SHARD_BYTES = 64 << 20
+#: Text that is encoded at once.
+BATCH_BYTES = 8 << 20
+#: Unicode white space, for a character class.
+SPACES = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: Shards whose starts are broadcast (16 MB); more are joined.
 MOST_BROADCAST = 1 << 20
 SCHEMA = "shard int, segment int, low bigint, high bigint, at bigint, n_docs int, n_tokens bigint, width int, keys binary, null_keys int, offsets binary, index binary, prints binary, firsts binary, counts binary, payload binary"
@@ -40,13 +46,16 @@ class LibraryEncoder:
     """Encodes with the tokenizers library, each distinct stretch of text once while it is remembered.
 
     Text is cut at single spaces between two other characters: there, and only there is this safe, the byte-level
-    pre-split always starts a new word, so the stretches' ids join to the ids of the whole. Stretches that aren't known
-    are encoded as one text, whose ids are dealt out again by the tokens' lengths.
+    pre-split always starts a new word, so the stretches' ids join to the ids of the whole. Stretches are looked up all
+    at once, as Arrow arrays; what is remembered are their ids in one array. Of stretches that aren't known, those of
+    Latin letters, or of ASCII without apostrophes, are cut as the pre-split cuts them and the library's model takes each
+    word as it is; the others are encoded as one text, whose ids are dealt out again by the tokens' lengths.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1 << 19):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -58,45 +67,115 @@ class LibraryEncoder:
         self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)
         for t, i in vocab.items():
             self.lengths[i] = len(t.encode()) if t in special else len(t)
-        self.unsafe = re.compile(r" \s|\s ")
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.model = BPE(model["vocab"], merges, cache_capacity=0)  # what is remembered is remembered here
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.of_word = Recent(lambda w: [t.id for t in self.model.tokenize(w)], 20_000)
+        # ASCII without apostrophes and with single line breaks inside, which the pre-split cuts between kinds of characters
+        self.plain = re.compile(r"(?:[!-&(-~]|(?<=[!-~])\n(?=[!-~]))+")
+        self.pieces = re.compile(r"[A-Za-z]+|[0-9]+|\n|[^A-Za-z0-9\n]+")
+        self.special = re.compile("|".join(map(re.escape, sorted(special))) or r"(?!)")
         self.cut = re.compile(r"(?<=\S) (?=\S)")
-        self.most, self.known, self.old = most, {}, {}
-
-    def _alone(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _learn(self, new: list[str]) -> None:
-        """Ids of " " + each of new."""
-        width = np.dtype(self.kind).itemsize
-        for at in range(0, len(new), 8192):
-            part = [" " + p for p in new[at:at + 8192]]
-            ids = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.cumsum(self.lengths[ids])
+        self.most = most
+        self._remember(pa.array([], pa.large_string()), np.zeros(0, np.int32), np.zeros(0, self.kind))
+        self.hits = np.zeros(0, np.int64)
+
+    def _remember(self, words: pa.Array, counts: np.ndarray, ids: np.ndarray) -> None:
+        self.words, self.counts, self.ids = words, counts, ids
+        self.first = (np.cumsum(counts) - counts).astype(np.int32)
+
+    def _alone(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def _learn(self, new: list[str]) -> np.ndarray:
+        """Remember the ids of " " + each of new; where they are."""
+        tokenize, words, symbols = self.model.tokenize, self.of_word, self.symbols
+        whole, counts, ids, rest = [], [], [], []
+        for i, p in enumerate(new):
+            before = len(ids)
+            if p.isascii():
+                if p.isalpha():
+                    ids += [t.id for t in tokenize("Ġ" + p)]
+                elif self.plain.fullmatch(p) and not self.special.search(p):
+                    first, *more = self.pieces.findall(p)
+                    ids += words["Ġ" + first]
+                    for m in more:
+                        ids += words["Ċ" if m == "\n" else m]
+                else:
+                    rest.append(i)
+                    continue
+            elif p.isalpha() and max(p) <= LATIN:
+                ids += [t.id for t in tokenize("Ġ" + p.encode().decode("latin-1").translate(symbols))]
+            else:
+                rest.append(i)
+                continue
+            whole.append(i)
+            counts.append(len(ids) - before)
+        all_counts, all_ids = [self.counts, np.array(counts, np.int32)], [self.ids, np.array(ids, self.kind)]
+        for at in range(0, len(rest), 8192):
+            part = [" " + new[i] for i in rest[at:at + 8192]]
+            got = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.cumsum(self.lengths[got])
             cuts = np.searchsorted(ends, np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in part]), "left") + 1
-            data, a = ids.tobytes(), 0
-            for p, b in zip(new[at:at + 8192], (cuts * width).tolist()):
-                self.known[p] = data[a:b]
-                a = b
+            all_counts.append(np.diff(cuts, prepend=0).astype(np.int32))
+            all_ids.append(got)
+        order = np.array(whole + rest, np.int64)
+        places = np.empty(len(new), np.int64)
+        places[order] = len(self.words) + np.arange(len(new))
+        self._remember(pa.concat_arrays([self.words, pa.array([new[i] for i in order.tolist()], pa.large_string())]), np.concatenate(all_counts), np.concatenate(all_ids))
+        self.hits = np.append(self.hits, np.zeros(len(new), np.int64))
+        return places
+
+    def _forget(self) -> None:
+        """Keep the more used half of what is remembered."""
+        kept = np.flatnonzero(self.hits > np.median(self.hits))
+        size = self.counts[kept]
+        ids = self.ids[np.repeat(self.first[kept] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        self._remember(self.words.take(pa.array(kept)), size, ids)
+        self.hits = np.zeros(len(kept), np.int64)
+
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """Where each of the distinct stretches is remembered; what isn't yet is learnt."""
+        if len(self.words) > self.most:
+            self._forget()
+        if not len(self.words):
+            return self._learn(distinct.to_pylist())
+        found = pc.index_in(distinct, value_set=self.words)
+        out = found.fill_null(-1).to_numpy().astype(np.int64)
+        new = out < 0
+        if new.any():
+            out[new] = self._learn(distinct.filter(pa.array(new)).to_pylist())
+        return out
+
+    def _joined(self, values: pa.Array, starts: np.ndarray) -> list[bytes]:
+        """Ids of texts whose stretches stand in values, each text's from its start on."""
+        coded = values.dictionary_encode()
+        places = self._places(coded.dictionary)[coded.indices.to_numpy()]
+        self.hits += np.bincount(places, minlength=len(self.hits))
+        size = self.counts[places]
+        size[starts] = 0  # a text's first stretch has no space before it
+        first = [self._alone(t).tobytes() for t in values.take(pa.array(starts)).to_pylist()]
+        ends = np.cumsum(size, dtype=np.int32)
+        data = self.ids[np.repeat(self.first[places] - (ends - size), size) + np.arange(ends[-1], dtype=np.int32)].tobytes()
+        width = np.dtype(self.kind).itemsize
+        cuts = (np.append(ends[starts], ends[-1]) * width).tolist()
+        return [f + data[a:b] for f, a, b in zip(first, cuts, cuts[1:])]
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
+    def encode_batch(self, texts: pa.Array | list[str]) -> list[bytes]:
         """Ids as little-endian bytes of self.kind."""
-        if len(self.known) > self.most:
-            self.known, self.old = {}, self.known
-        cuts = [self.cut.split(t) if self.unsafe.search(t) else t.split(" ") for t in texts]
-        wanted: set[str] = set()
-        for parts in cuts:
-            wanted.update(parts[1:])
-        known, old = self.known, self.old
-        new = []
-        for p in wanted:
-            if p not in known:
-                if p in old:
-                    known[p] = old[p]
-                else:
-                    new.append(p)
-        self._learn(new)
-        ids = known.__getitem__
-        return [self._alone(parts[0]) + b"".join(map(ids, parts[1:])) if t else b"" for t, parts in zip(texts, cuts)]
+        texts = (pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())).fill_null("")
+        out = [b""] * len(texts)
+        filled = pc.not_equal(texts, "")
+        odd = pc.match_substring_regex(texts, f" [{SPACES}]|[{SPACES}] ")
+        for mask, split in ((pc.and_(filled, pc.invert(odd)), lambda x: pc.split_pattern(x, " ")), (pc.and_(filled, odd), lambda x: pa.array(map(self.cut.split, x.to_pylist()), pa.large_list(pa.large_string())))):
+            if len(which := np.flatnonzero(mask.to_numpy(zero_copy_only=False))):
+                parts = split(texts.filter(mask))
+                starts = parts.offsets.to_numpy()[:-1].astype(np.int64)
+                for i, x in zip(which.tolist(), self._joined(parts.flatten(), starts - starts[0])):
+                    out[i] = x
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -141,18 +220,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             r = _segment(shard, number, at, keys, ids, e.kind)
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(r, types)], names=names), r[6]
 
-        for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            own = b.column(0).to_pylist()
-            for i in range(0, len(own), 256):
-                for k, x in zip(own[i:i + 256], e.encode_batch(texts[i:i + 256])):
-                    keys.append(k)
-                    ids.append(x + end)
-                    held += len(ids[-1])
-                    if held >= SEGMENT_TOKENS * len(end):
-                        batch, n = row()
-                        yield batch
-                        number, at, keys, ids, held = number + 1, at + n, [], [], 0
+        for b in regrouped(batches, 1, BATCH_BYTES):
+            for k, x in zip(b.column(0).to_pylist(), e.encode_batch(b.column(1))):
+                keys.append(k)
+                ids.append(x + end)
+                held += len(ids[-1])
+                if held >= SEGMENT_TOKENS * len(end):
+                    batch, n = row()
+                    yield batch
+                    number, at, keys, ids, held = number + 1, at + n, [], [], 0
         if keys:
             yield row()[0]
 
