@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The six ASCII white-space bytes, [\x20\x09-\x0D].
@@ -72,6 +72,16 @@ def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], count: str) ->
     return rows.join(F.broadcast(hot), keys).unionByName(rest.join(table, keys))
 
 
+#: Ids that are broadcast; more are joined.
+FEW_IDS = 1 << 20
+
+
+def without(rows: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """rows whose key isn't in gone's one column. Ids that go are few beside the rows, so up to FEW_IDS of them travel instead of the rows."""
+    gone = materialize(gone.toDF("gone").distinct())
+    return rows.join(F.broadcast(gone) if gone.count() <= FEW_IDS else gone, key.eqNullSafe(F.col("gone")), "left_anti")
+
+
 #: Rows of an Arrow batch: whole documents are long, so Spark's 10,000 could be a gigabyte.
 BATCH_ROWS = 1000
 

@@ -5,9 +5,11 @@ chunks are hashed side by side in one exact float64 matrix product (all sums sta
 length-shifted arithmetic, H(ab) = H(a) r^|b| + H(b), so pieces of one huge document may be hashed anywhere and joined
 later (`combine`, `fingerprint_pieces`). Texts with one fingerprint and length are then compared chunk by chunk: each
 chunk position keeps its smallest and largest content, which pre-aggregates on the map side however large the group is.
+The groups of most copies are joined with their rows by a broadcast, so that no task gets all rows of one.
 
 Nulls and empty texts: null text is empty; all empty texts are equal to each other. A null doc_id loses ties to any
-other. Rows that repeat (same doc_id and text) are rows of one group, of which exactly one stays. Empty table: no rows.
+other. Rows that repeat (same doc_id and text) are rows of one group, of which exactly one stays; of rows that have an
+id, a text's letters and its length in common the one with the least hash of all columns does. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -19,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, by_place, documents, materialize, text_bytes
+from .common import ASCII_SPACE, by_place, documents, join_hot, materialize, text_bytes, without
 
 PRIME = (1 << 31) - 1
 POINTS = (1_482_907_561, 931_084_627)
 CHUNK = 4096
 COMPARE_CHUNK = 1 << 16
+#: Bits of the map of repeated fingerprints: 16 MB.
+MOST_BITS = 1 << 27
 _POWERS: dict[tuple, np.ndarray] = {}
 
 
@@ -80,15 +84,18 @@ def fingerprint_pieces(pieces: DataFrame, key: str, order: str, text: str) -> Da
     kinds = dict(pieces.dtypes)
     rows = documents(pieces, key, order, text).mapInArrow(hashed, f"key {kinds[key]}, no {kinds[order]}, a bigint, b bigint, n bigint")
 
-    @F.udf("struct<fingerprint:bigint,n_bytes:bigint>")
-    def joined(parts):
-        fp, n = (0, 0), 0
-        for p in parts:
-            fp, n = combine(fp, (p["a"], p["b"]), p["n"]), n + p["n"]
-        return packed(fp), n
+    def joined(batches):
+        for batch in batches:
+            out = []
+            for parts in batch.column(1).to_pylist():
+                fp, n = (0, 0), 0
+                for p in parts:
+                    fp, n = combine(fp, (p["a"], p["b"]), p["n"]), n + p["n"]
+                out.append((packed(fp), n))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([o[i] for o in out], pa.int64()) for i in range(2)]], names=["key", "fingerprint", "n_bytes"])
 
     parts = rows.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("no", "a", "b", "n"))).alias("parts"))
-    return parts.select(F.col("key").alias(key), joined("parts").alias("x")).select(key, "x.*")
+    return parts.mapInArrow(joined, f"key {kinds[key]}, fingerprint bigint, n_bytes bigint").withColumnRenamed("key", key)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, points, prime) -> DataFrame:
@@ -106,7 +113,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, points, prime) -> DataFr
 
 
 def _bitmap(groups: DataFrame, bits: int) -> np.ndarray:
-    """A fixed-size map of the fingerprints that occur more than once: bits / 8 bytes, however large the corpus."""
+    """A map of the fingerprints that occur more than once, of bits / 8 bytes."""
     words = groups.select(F.pmod("fp", F.lit(bits)).alias("at")).groupBy((F.col("at") / 32).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(at, 32) as int))")).alias("bits"))
     found = words.toPandas()
     out = np.zeros(bits // 32, np.int64)
@@ -135,37 +142,42 @@ def _unequal(docs: DataFrame, text_col: str, bitmap: np.ndarray, bits: int, poin
     return same.where("low <> high").select("fp", "n").distinct()
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = 1 << 20, points=POINTS, prime: int = PRIME) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = MOST_BITS, points=POINTS, prime: int = PRIME) -> DataFrame:
     """One row per row of docs: id_col, keep_id, group_size, kept, text_sha256, and the fingerprint.
 
-    Of equal texts (white space deleted) the one with the most code points stays, then the smallest id. filter_bits
-    bounds the map of repeated fingerprints that the driver holds; if it fills up, more rows are compared, none fewer.
+    Of equal texts (white space deleted) the one with the most code points stays, then the smallest id. The map of
+    repeated fingerprints that executors get has 16 bits a group and filter_bits at most; as it fills up beyond that, more
+    rows are compared, none fewer.
     """
     keyed = materialize(_keyed(docs, id_col, text_col, points, prime).withColumn("row", F.monotonically_increasing_id()))
-    repeated = keyed.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    unequal = materialize(_unequal(docs, text_col, _bitmap(repeated, filter_bits), filter_bits, points, prime))
+    repeated = materialize(keyed.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    bits = min(filter_bits, 1 << max(20, (16 * repeated.count()).bit_length()))
+    unequal = materialize(_unequal(docs, text_col, _bitmap(repeated, bits), bits, points, prime))
+    # next to no fingerprint stands for unequal texts; rows of those that do are told apart by their SHA-256
     split = keyed.join(unequal.withColumn("split", F.lit(True)), ["fp", "n"], "left").withColumn("split", F.when(F.col("split"), F.col("sha")).otherwise(F.lit("")))
     first = F.min(F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("z"), "id", "row"))
     groups = split.groupBy("fp", "n", "split").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
-    return split.join(groups, ["fp", "n", "split"]).select(
+    return join_hot(split, materialize(groups), ["fp", "n", "split"], "group_size").select(
         F.col("id").alias(id_col), F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"),
         F.col("sha").alias("text_sha256"), F.col("fp").alias("fingerprint"), "row")
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with docs' own columns."""
-    judged = exact_dedup(docs, id_col, text_col)
+    judged = materialize(exact_dedup(docs, id_col, text_col).select(F.col(id_col).alias("id"), "kept", F.col("text_sha256").alias("own_sha")))
     rows, names = by_place(docs)
     key, text = rows[docs.columns.index(id_col)], rows[docs.columns.index(text_col)]
-    if docs.groupBy(F.col(f"`{id_col}`")).count().where("count > 1").isEmpty():
-        dropped = judged.where("not kept").select(F.col(id_col).alias("id"))
-        return rows.join(dropped, key.eqNullSafe(F.col("id")), "left_anti").toDF(*names)
-    # an id stands on several rows: they are told apart by their text, and equal ones merged
+    twice = materialize(judged.groupBy("id").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("id"))
+    # an id of one row says which row goes
+    single = without(rows, key, judged.where("not kept").select("id").unionByName(twice))
+    # rows that share an id are told apart by their text, and of those that share that as well one stays
     clean = F.sha2(F.translate(F.coalesce(text, F.lit("")), " \t\n\x0b\x0c\r", ""), 256)
-    kept = judged.where("kept").select(F.col(id_col).alias("id"), F.col("text_sha256").alias("kept_sha"))
-    found = rows.withColumn("sha", clean).join(kept, key.eqNullSafe(F.col("id")) & (F.col("sha") == F.col("kept_sha")), "left_semi")
-    longest = F.max_by(F.struct(*rows.columns), F.length(F.coalesce(text, F.lit("")))).alias("r")
-    return found.groupBy(key.alias("k"), "sha").agg(longest).select("r.*").toDF(*names)
+    kept = judged.where("kept").join(twice, judged["id"].eqNullSafe(twice["id"]), "left_semi").select("id", "own_sha").distinct()
+    found = rows.withColumn("sha", clean).join(kept, key.eqNullSafe(F.col("id")) & (F.col("sha") == F.col("own_sha")), "left_semi")
+    hashed = [c for c, kind in rows.dtypes if "map<" not in kind and kind != "variant"]
+    best = F.min_by(F.struct(*rows.columns), F.struct(-F.length(F.coalesce(text, F.lit(""))), F.xxhash64(*hashed))).alias("r")
+    several = found.groupBy(key.alias("k"), "sha").agg(best).select("r.*")
+    return single.unionByName(several).toDF(*names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Sources in code point order, null last, have repeating weights and share a multiple of all words; a source's target
 stops at a multiple of its size and what is left over is shared again by weight. The targets are apportioned in blocks
-of equally many words: seats go to the highest quotients target / (2 j + 1), first to sources, then within a source to
-its shards, in proportion to their words. A shard holds about `shard_words` words of documents in a seeded order, so the
+of equally many words: seats go to the highest quotients target / (2 j + 1), first to sources (one row each), then within a
+source to its shards, in proportion to their words. A shard holds about `shard_words` words of documents in a seeded order, so the
 largest source is many shards and no group outgrows a task. Of a shard's ring of blocks the quota is a run that starts
 at a seeded block (twice round for a quota beyond the ring), so all but the documents at its ends are taken whole.
 
@@ -13,16 +13,21 @@ Rows that repeat are rows of their own. Null doc_ids share one place in the seed
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_place, documents, materialize
+from .common import by_place, documents, materialize, small_batches
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST, BLOCK, SHARD_WORDS, SEED = 1.5, 2, 16, 1 << 20, 17
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Shards that seats are dealt to at once.
+TREE = 1 << 16
 
 
 def apportion(weights: np.ndarray, seats: int) -> np.ndarray:
@@ -84,11 +89,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
               .withColumn("shard", F.pmod(number(key, "shard", seed), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)))))
     sizes = placed.groupBy("source", "shard").agg(F.sum("size").alias("words"), F.first("seats").alias("seats"))
 
-    def seated(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("shard")
-        return pdf.assign(quota=apportion(pdf["words"].to_numpy(), int(pdf["seats"].iloc[0])))[["source", "shard", "words", "quota"]]
+    # seats go to groups of TREE shards first, then to their shards: whatever a source's size, no task holds more than TREE of them
+    sizes = materialize(sizes.withColumn("group", F.expr(f"shard div {TREE}")))
+    groups = sizes.groupBy("source", "group").agg(F.sum("words").alias("words"), F.first("seats").alias("seats"))
+
+    def seated(by: str):
+        def given(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(by)
+            return pdf.assign(quota=apportion(pdf["words"].to_numpy(), int(pdf["seats"].iloc[0])))[["source", by, "words", "quota"]]
 
-    quotas = sizes.groupBy("source").applyInPandas(seated, "source string, shard bigint, words bigint, quota bigint")
+        return given
+
+    given = groups.groupBy("source").applyInPandas(seated("group"), "source string, group bigint, words bigint, quota bigint").toDF("gs", "gn", "gw", "given")
+    sizes = sizes.join(given, F.col("source").eqNullSafe(F.col("gs")) & (F.col("group") == F.col("gn"))).withColumn("seats", F.col("given"))
+    quotas = sizes.select("source", "group", "shard", "words", "seats").groupBy("source", "group").applyInPandas(seated("shard"), "source string, shard bigint, words bigint, quota bigint")
     ring = F.ceil(F.col("words") / block)
     first = F.pmod(number(F.concat_ws("/", F.coalesce("qs", F.lit("")), F.col("qn").cast("string")), "first", seed), F.greatest(F.lit(1), F.col("ring")))
     quotas = (quotas.toDF("qs", "qn", "words", "quota").withColumn("ring", ring).withColumn("quota", F.least("quota", most * F.col("ring")))
@@ -107,9 +121,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def cut_words(text: str, start: int, stop: int) -> str:
     """Words start to stop of a text with the white space between them."""
-    import re
-
-    at = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    at = [m.span() for m in _WORD.finditer(text)]
     return text[at[start][0]:at[stop - 1][1]] if start < stop else ""
 
 
@@ -117,26 +129,41 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """docs after the mix, in docs' own columns: a row for every whole pass over a document and one for each part of it.
 
     A document of which nothing is taken has no row; its parts are runs of its words with the white space between them.
-    Rows that share id, source and size share one plan, that of the first of them.
+    Rows that share id, source and size get the plans of those rows, in the order of their texts' hashes.
     """
-    plan = mix(docs, id_col, text_col, source_col, **options).where("taken > 0")
-    plan = plan.groupBy(F.col(id_col).alias("id"), "source", "size").agg(F.min(F.struct("whole", "from", "to", "again")).alias("plan"))
+    same = ["id", "source", "size"]
+    plan = mix(docs, id_col, text_col, source_col, **options)
+    nth = lambda *order: F.row_number().over(Window.partitionBy(*same).orderBy(*order))
+    plan = plan.select(F.col(id_col).alias("id"), "source", "size", "taken", "whole", "from", "to", "again")
+    plan = plan.withColumn("nth", nth("whole", "from", "to", "again")).where("taken > 0")
     rows, names = by_place(docs)
     key, text, source = (rows[names.index(c)] for c in (id_col, text_col, source_col))
     size = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
-    joined = rows.join(plan, key.eqNullSafe(F.col("id")) & source.eqNullSafe(F.col("source")) & (size == F.col("size")))
-
-    @F.udf("array<string>")
-    def pieces(text, size, p):
-        out = [text] * p["whole"]
-        # a run round the ring's end that meets in one document stays in order: its start, then its end
-        for a, b in ((0, p["again"]), (p["from"], p["to"])):
-            if a < b:
-                out.append(text if b - a == size else cut_words(text, a, b))
-        return out
-
-    cols = [F.col("piece") if c == text_col else F.length("piece").cast(kind) if c == length_col else F.col(f"column{i}") for i, (c, kind) in enumerate(docs.dtypes)]
-    return joined.withColumn("piece", F.explode(pieces(text, F.col("size"), F.col("plan")))).select(cols).toDF(*names)
+    rows = rows.withColumns({"id": key, "source": source, "size": size, "h": F.xxhash64(text)}).withColumn("nth", nth("h"))
+    plan = plan.toDF("pid", "psource", "psize", "taken", "whole", "from", "to", "again", "pnth")
+    joined = rows.join(plan, F.col("id").eqNullSafe(F.col("pid")) & F.col("source").eqNullSafe(F.col("psource")) & (F.col("size") == F.col("psize")) & (F.col("nth") == F.col("pnth")))
+    n, at, length = len(names), names.index(text_col), names.index(length_col) if length_col in names else None
+
+    def pieces(batches):
+        for b in batches:
+            which, made = [], []
+            for i, (t, size, whole, low, high, again) in enumerate(zip(b.column(at).to_pylist(), *[b.column(n + j).to_pylist() for j in range(5)])):
+                out = [t] * whole
+                # a run round the ring's end that meets in one document stays in order: its start, then its end
+                out += [t if y - x == size else cut_words(t, x, y) for x, y in ((0, again), (low, high)) if x < y]
+                which += [i] * len(out)
+                made += out
+            rows = b.select(list(range(n))).take(pa.array(which, pa.int64()))
+            columns = list(rows.columns)
+            columns[at] = pa.array(made, rows.schema.field(at).type)
+            if length is not None:
+                columns[length] = pa.array([len(t) for t in made]).cast(rows.schema.field(length).type)
+            yield pa.RecordBatch.from_arrays(columns, names=rows.schema.names)
+
+    small_batches(docs.sparkSession)
+    columns = [f"column{i}" for i in range(n)]
+    schema = ", ".join(f"{c} {kind}" for c, (_, kind) in zip(columns, docs.dtypes))
+    return joined.select(*columns, "size", "whole", "from", "to", "again").mapInArrow(pieces, schema).toDF(*names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

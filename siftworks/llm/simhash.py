@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import near_sets
 from .bit_slices import BITS, forest
-from .common import by_place, documents, join_hot, materialize, text_bytes
+from .common import by_place, documents, join_hot, materialize, text_bytes, without
 from .components import components
 FIELDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TABLES = list(combinations(range(len(FIELDS)), 2))
@@ -130,9 +130,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs without the rows whose component has a smaller id; rows without an id, and rows that repeat one, all stay."""
     classes = near_duplicates(docs, id_col, text_col, **options)
-    dropped = classes.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("id")).distinct()
+    dropped = classes.where(F.col(id_col) > F.col("component_id")).select(id_col)
     rows, names = by_place(docs)
-    return rows.join(dropped, rows[docs.columns.index(id_col)] == F.col("id"), "left_anti").toDF(*names)
+    return without(rows, rows[docs.columns.index(id_col)], dropped).toDF(*names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,13 +1,16 @@
 """Operator 7: toxicity by noisy-channel deobfuscation.
 
 A character model (trigrams over the whole corpus) and a channel (digits and signs for letters, letters apart, letters
-repeated) make a lattice of every suspicious stretch; Viterbi decoding gives the likeliest plain words. A stretch
-without such characters has one path and is its own decoding. The restored words and their first four to six letters
-are then scored: evidence is the lower bound of a feature's log odds among labelled rows, a document's score a logistic
-function of its strongest words, fitted with each row left out of its own counts.
+repeated) make a lattice of every suspicious stretch, however long; Viterbi decoding gives the likeliest plain words. A
+stretch without such characters has one path and is its own decoding. Doubled letters and words joined by marks are
+common in plain text: they are decoded where their letters, each run of one letter taken as one, begin like a word with
+evidence, as no other reading of them could count. The restored words and their first four to six letters are then
+scored: evidence is the lower bound of a feature's log odds among labelled rows, a document's score a logistic function
+of its strongest words, fitted with each row left out of its own counts.
 
-What is fitted comes from a bounded sample of labelled rows (`sample` rows, the least crc32 of the id first); the
-character model counts all rows. Labels, language, source and id are never inputs of a score.
+What is fitted comes from a bounded sample of labelled rows (`sample` rows, the least crc32 of the id first), all their
+features that three toxic rows have; the character model counts all rows. Labels, language, source and id are never
+inputs of a score.
 
 Null and empty texts have no words and get the score of a text without evidence. Repeated rows get equal rows. Rows with
 a null doc_id are never learnt from and count as held out. Labels with nulls are left aside, of labels that repeat the
@@ -27,7 +30,6 @@ from pyspark.sql import functions as F
 from .common import documents, materialize, small_batches, text_bytes
 
 SAMPLE = 20_000
-MOST_FEATURES = 50_000
 FOLDS = 5
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "*": "aeiou"}
 SEPARATORS = set(" .-_~/'\"^=:,\t\n")
@@ -37,7 +39,9 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _SPLIT = re.compile(r"\s+")
 _INNER = re.compile(r"[^\W\d_][0-9@$!|+(€*]+(?:[^\W_]|$)|[0-9@$!|+(€*][^\W\d_]|([^\W\d_])\1\1")
 _DOTTED = re.compile(r"(?:[^\W_]{1,2}[.\-_~/'\"^=:,]){2,}[^\W_]{1,2}(?![^\W_])")
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+_RUN = re.compile(r"([^\W\d_])\1+")
+_HIDING = re.compile(r"([^\W\d_])\1|[^\W\d_][^\w\s]+[^\W\d_]")
 
 
 def _symbol_table() -> np.ndarray:
@@ -70,24 +74,11 @@ class CharModel:
     def decode(self, text: str) -> str:
         """The likeliest plain reading of a stretch of noisy text."""
         logp, text = self.logp, text.lower()
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # of each state the best score and its reading, as (reading before, character)
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for i, c in enumerate(text):
-            options: list[tuple[int | None, str, float]] = []
-            if c.isalpha():
-                run = i and text[i - 1] == c
-                options.append((symbol(c), c, 0.0))
-                if run:
-                    long = (i > 1 and text[i - 2] == c) or text[i + 1:i + 2] == c
-                    options[0] = (symbol(c), c, -1.5 if long else 0.0)
-                    options.append((None, "", -0.2 if long else -4.0))
-            elif c in LEET:
-                options += [(symbol(x), x, -1.0 if len(LEET[c]) < 3 else -2.0) for x in LEET[c]]
-                options.append((0, " ", -9.0))
-            elif c in SEPARATORS:
-                options += [(None, "", -0.3), (0, " ", -1.0)]
-            else:
-                options.append((0, " ", 0.0))
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            options = self.options(text, i, c)
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, out) in best.items():
                 for s, ch, cost in options:
                     if s is None or (s == 0 and b == 0):
@@ -96,9 +87,32 @@ class CharModel:
                     else:
                         state, value = (b, s), score + cost + logp[a, b, s]
                     if state not in after or value > after[state][0]:
-                        after[state] = (value, out + ch)
+                        after[state] = (value, (out, ch) if ch else out)
             best = after
-        return max((v + (logp[a, b, 0] if b else 0.0), out) for (a, b), (v, out) in best.items())[1].strip()
+        out, made = max(((v + (logp[a, b, 0] if b else 0.0), out) for (a, b), (v, out) in best.items()), key=lambda x: x[0])[1], []
+        while out:
+            out, ch = out
+            made.append(ch)
+        return "".join(reversed(made)).strip()
+
+    @staticmethod
+    def options(text: str, i: int, c: str) -> list[tuple[int | None, str, float]]:
+        """(symbol or None, character, cost): what the i-th character c may stand for; None stands for nothing."""
+        options: list[tuple[int | None, str, float]] = []
+        if c.isalpha():
+            options.append((symbol(c), c, 0.0))
+            if i and text[i - 1] == c:
+                long = (i > 1 and text[i - 2] == c) or text[i + 1:i + 2] == c
+                options[0] = (symbol(c), c, -1.5 if long else 0.0)
+                options.append((None, "", -0.2 if long else -4.0))
+        elif c in LEET:
+            options += [(symbol(x), x, -1.0 if len(LEET[c]) < 3 else -2.0) for x in LEET[c]]
+            options.append((0, " ", -9.0))
+        elif c in SEPARATORS:
+            options += [(None, "", -0.3), (0, " ", -1.0)]
+        else:
+            options.append((0, " ", 0.0))
+        return options
 
 
 def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
@@ -123,8 +137,9 @@ def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
 class Reader:
     """Words of a text after deobfuscation; what a stretch between spaces reads as is worked out once while it is remembered."""
 
-    def __init__(self, model: CharModel):
-        self.model = model
+    def __init__(self, model: CharModel, evidence: frozenset[str] = frozenset()):
+        """evidence: starts of words that count, each run of one letter taken as one."""
+        self.model, self.evidence, self.sizes = model, evidence, sorted({len(e) for e in evidence})
 
     def words(self, piece: str) -> list[str]:
         """Restored words of a stretch, next to the words as they stand."""
@@ -132,22 +147,28 @@ class Reader:
         for token in _SPLIT.split(piece):
             plain = _LETTERS.findall(token.lower())
             out += plain
-            if _INNER.search(token) or _DOTTED.search(token):
-                out += _LETTERS.findall(self.model.decode(token.strip(".,;:?\"'()%&*#")[:400]) if len(token) < 400 else self.long(token))
+            if _INNER.search(token) or _DOTTED.search(token) or self.hides(token, plain):
+                out += _LETTERS.findall(self.model.decode(token.strip(".,;:?\"'()%&*#")))
         return out
 
-    def long(self, token: str) -> str:
-        """A very long stretch is decoded in overlapping parts, so that none of it goes unread."""
-        return " ".join(self.model.decode(token[at:at + 400]) for at in range(0, len(token), 300))
+    def hides(self, token: str, plain: list[str]) -> bool:
+        """Whether doubled letters or marks between letters may hide a word that counts."""
+        if not self.evidence or not _HIDING.search(token):
+            return False
+        most = self.sizes[-1]
+        for i in range(len(plain)):
+            letters = ""
+            for p in plain[i:]:  # from each part on, as many as a start may take
+                letters = _RUN.sub(r"\1", letters + p)
+                if len(letters) >= most:
+                    break
+            if any(letters[:n] in self.evidence for n in self.sizes if n <= len(letters)):
+                return True
+        return False
 
     def spaced(self, text: str) -> list[str]:
-        """Words spelt with a space after every letter."""
-        out = []
-        for m in _SPACED.finditer(text):
-            run = m.group()
-            for at in range(0, len(run), 300):
-                out += _LETTERS.findall(self.model.decode(run[at:at + 400]))
-        return out
+        """Words spelt with white space after every letter."""
+        return [w for m in _SPACED.finditer(text) for w in _LETTERS.findall(self.model.decode(_SPLIT.sub(" ", m.group())))]
 
     def all(self, text: str) -> set[str]:
         words = set(self.spaced(text))
@@ -175,6 +196,11 @@ class Model:
     least: float = 1.0
     coefficients: tuple[float, ...] = (-30.0, 0.0, 0.0, 0.0)
 
+    def reader(self) -> Reader:
+        """A reader that knows which words count."""
+        known = (_RUN.sub(r"\1", f.rstrip("*")) for f, (pos, neg) in self.counts.items() if weight(pos, neg, self.n_pos, self.n_neg) >= self.least)
+        return Reader(self.chars, frozenset(known))
+
     def word_weight(self, word: str, own: int | None = None) -> float:
         """own: the label of the row the word stands in, if that row is to be left out of the counts."""
         best = 0.0
@@ -212,8 +238,8 @@ def fold(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % FOLDS, F.lit(0))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, most_features: int = MOST_FEATURES) -> Model:
-    """Fit on at most `sample` labelled rows outside fold 0; at most most_features features, the strongest, are kept."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
+    """Fit on at most `sample` labelled rows outside fold 0."""
     chars = char_model(docs, text_col)
     known = documents(labels, id_col, label_col).toDF("id", "y").dropna().groupBy("id").agg(F.max("y").alias("y")).where(fold(F.col("id")) != 0)
     chosen = known.orderBy(F.crc32(F.col("id").cast("string").cast("binary")), "id").limit(sample)
@@ -239,20 +265,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return part.select("text").mapInArrow(counted, "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
 
     # features of toxic rows first: what only clean rows have is no evidence
-    toxic = count(rows.where("y = 1"), None).where("n >= 3").orderBy(F.desc("n"), "f").limit(4 * most_features).collect()
-    pos = {r["f"]: r["n"] for r in toxic}
+    pos = {r["f"]: r["n"] for r in count(rows.where("y = 1"), None).where("n >= 3").collect()}
     neg = {r["f"]: r["n"] for r in count(rows.where("y = 0"), pos).collect()}
-    ranked = sorted(((weight(p, neg.get(f, 0), n_pos, n_neg), f) for f, p in pos.items()), reverse=True)
-    model = Model(chars, {f: (pos[f], neg.get(f, 0)) for w, f in ranked[:most_features] if w > 0.5}, n_pos, n_neg)
+    model = Model(chars, {f: (p, neg.get(f, 0)) for f, p in pos.items() if weight(p, neg.get(f, 0), n_pos, n_neg) > 0.5}, n_pos, n_neg)
 
     def left_out(batches):
-        reader = Reader(chars)
+        reader = model.reader()
         for b in batches:
             ys = b.column(0).to_pylist()
             x = [model.inputs([v for w in reader.all(t) if (v := model.word_weight(w, y))]) for y, t in zip(ys, b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[i] for r in x], pa.float64()) for i in range(3)]], names=["y", "a", "b", "c"])
 
-    seen = rows.select("y", "text").mapInArrow(left_out, "y int, a double, b double, c double").orderBy("y", "a", "b", "c").toPandas()
+    seen = rows.select("y", "text").mapInArrow(left_out, "y int, a double, b double, c double").toPandas()  # at most `sample` rows
+    seen = seen.sort_values(["y", "a", "b", "c"])  # the sums of the fit don't depend on which task came first
     model.coefficients = tuple(float(v) for v in _logistic(seen[["a", "b", "c"]].to_numpy(), seen["y"].to_numpy(np.float64)))
     return model
 
@@ -261,7 +286,7 @@ class Scorer:
     """Scores texts. Of the stretches it has met it remembers, up to a bound, which have words with evidence."""
 
     def __init__(self, model: Model, most: int = 250_000):
-        self.model, self.reader, self.most = model, Reader(model.chars), most
+        self.model, self.reader, self.most = model, model.reader(), most
         self.seen: set[str] = set()
         self.found: dict[str, list[tuple[str, float]]] = {}
 
@@ -288,7 +313,7 @@ class Scorer:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, score), one row per row of docs; no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most most_features short strings and two numbers each
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # starts of words of at most `sample` rows, and two numbers each
 
     def scored(batches):
         scorer = Scorer(shared.value)

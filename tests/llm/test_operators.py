@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftworks.llm import bpe, exact_dedup, mixing, search, sharding, simhash, suffix_dedup, token_files, toxicity, url_filter
+from siftworks.llm import bpe, common, exact_dedup, mixing, search, sharding, simhash, suffix_dedup, token_files, toxicity, url_filter
 from siftworks.llm.bpe_automaton import Automaton
 from siftworks.llm.perfect_hash import PerfectHash
 
@@ -180,7 +180,25 @@ def test_fingerprints_combine(spark):
 def test_drop_duplicates_keeps_columns(spark, hard):
     kept = exact_dedup.drop_duplicates(hard)
     assert kept.columns == hard.columns
-    assert kept.count() == sum(r[3] for r in brute_dedup([(r[0], r[1]) for r in hard_rows()]))
+    want = brute_dedup([(r[0], r[1]) for r in hard_rows()])
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(r[0] for r in want if r[3])
+
+
+def test_drop_duplicates_with_ids_that_repeat(spark):
+    """Rows of one id with several texts, one longer by white space, and wholly repeated rows; ids both broadcast and joined."""
+    rows = [(1, "a b", "x"), (1, "a  b", "y"), (1, "c", "x"), (2, "ab", "x"), (2, "d", "x"), (3, "d", "x"), (4, "e", "x"), (4, "e", "x"), (None, "f", "x"), (None, "g", "x"), (5, "g ", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, own_sha string")
+    assert sorted(map(tuple, exact_dedup.drop_duplicates(df).collect()), key=str) == sorted([(1, "a  b", "y"), (1, "c", "x"), (2, "d", "x"), (4, "e", "x"), (None, "f", "x"), (5, "g ", "x")], key=str)
+
+
+def test_a_hot_group_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    rows = [(i, "copy of one text" if i % 3 == 0 else f"text {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.exact_dedup(df).collect()}
+    assert got == {i: (0, 100) if i % 3 == 0 else (i, 1) for i, _ in rows}
+    assert {r["component_id"] for r in simhash.near_duplicates(df).where("doc_id % 3 = 0").collect()} == {0}
+    assert exact_dedup.drop_duplicates(df).count() == 201
 
 
 # -------------------------------------------------------------- 4
@@ -198,12 +216,84 @@ def test_sharding(spark, hard, tmp_path):
     store.vacuum()
     assert sorted(map(str, store.read().collect())) == old
     with pytest.raises(sharding.Conflict):
-        store._commit(m)
+        store._commit(before, [], set(), m.schema)
     none = sharding.ShardStore(spark, str(tmp_path / "e"))
     none.append(hard.limit(0))
     assert none.compact() and none.read().count() == 0 and none.read().columns == hard.columns
 
 
+def _files(store):
+    return {f"data/{f.getPath().getName()}/{s.getPath().getName()}" for f in store._names("data") for s in store._names(f"data/{f.getPath().getName()}") if s.getPath().getName().startswith("part-")}
+
+
+def test_vacuum_leaves_what_a_writer_is_about_to_commit(spark, hard, tmp_path):
+    store = sharding.ShardStore(spark, str(tmp_path / "s"), target_bytes=1 << 20, least_runs=2)
+    store.append(hard, rows_per_shard=5)
+    written = store._write(hard, 5)  # by another writer, which hasn't committed yet
+    store.compact()
+    store.vacuum()
+    store._added(written, hard.schema.json())
+    assert store.read().count() == 2 * hard.count()
+    # without a grace only what is live stays
+    store.compact()
+    store.vacuum(grace_seconds=-60)
+    assert _files(store) == {s.path for s in store.manifest().shards}
+    assert store.read().count() == 2 * hard.count()
+
+
+def test_an_append_between_planning_and_commit_is_kept(spark, hard, tmp_path, monkeypatch):
+    store = sharding.ShardStore(spark, str(tmp_path / "s"), target_bytes=1 << 20, least_runs=2)
+    for _ in range(2):
+        store.append(hard, rows_per_shard=5)
+    merged, raced = store._merged, []
+
+    def slow(runs, schema):
+        out = merged(runs, schema)
+        if not raced:
+            raced.append(sharding.ShardStore(spark, store.root, 1 << 20, least_runs=2).append(hard, rows_per_shard=100))
+        return out
+
+    monkeypatch.setattr(store, "_merged", slow)
+    store.compact()
+    assert raced and store.read().count() == 3 * hard.count()
+
+    # of two compactions of the same shards one is void
+    def late(runs, schema):
+        out = merged(runs, schema)
+        sharding.ShardStore(spark, store.root, 1 << 20, least_runs=2).compact()
+        return out
+
+    for _ in range(3):
+        store.append(hard, rows_per_shard=5)
+    monkeypatch.setattr(store, "_merged", late)
+    store.compact()
+    assert store.read().count() == 6 * hard.count()
+
+
+def test_each_planned_run_becomes_one_shard(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "RUNS_A_JOB", 2)
+    store = sharding.ShardStore(spark, str(tmp_path / "s"), target_bytes=40_000, least_runs=3)
+    rows = spark.range(6000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    store.append(rows.repartition(8), rows_per_shard=150)
+    before = store.manifest()
+    runs = store.plan(before.shards)
+    made = store._merged(runs, rows.schema)
+    assert len(runs) > 3 and sorted(s.rows for s in made) == sorted(sum(s.rows for s in r) for r in runs)
+    assert all(len({store.tier(s) for s in r}) == 1 for r in runs)
+    after = store.compact()
+    assert store.read().distinct().count() == 6000 and max(s.size for s in after.shards) < 2 * 40_000
+
+
+def test_versions_are_read_from_snapshots_and_changes(spark, hard, tmp_path):
+    store = sharding.ShardStore(spark, str(tmp_path / "s"), snapshot=3)
+    part = hard.limit(2)
+    for n in range(1, 8):
+        assert store.append(part).version == n
+    assert [store.read(v).count() for v in (1, 3, 5, 7)] == [2, 6, 10, 14]
+    store.vacuum(grace_seconds=-60)
+    assert store._log() == ([7], [6]) and store.read().count() == 14
+
+
 # -------------------------------------------------------------- 5
 
 
@@ -241,8 +331,6 @@ def test_automaton_is_deterministic_and_equals_the_merges():
     for n in range(1, 10):
         for k in range(1 << n):
             w = "".join("ab"[k >> i & 1] for i in range(n))
-            if "aa" * 2 in w or "aaa" in w:
-                continue  # two merges here spell one token; the engine's vocabularies have one way each
             assert auto.decode(auto.encode(w)) == by_merging(w), w
 
 
@@ -299,6 +387,73 @@ def test_toxicity_held_out_accuracy_and_obfuscation(spark):
     assert all(s >= 0.5 for s in scorer.batch([clean + "you 1d10t", clean + "s t u p i d", clean + "w0rthle$$ one"]))
 
 
+def _small_model():
+    """A character model of a few words."""
+    table = toxicity._symbol_table()
+    cube = np.zeros((29, 29, 29), np.int64)
+    for w in ("stupid idiot", "you are a stupid moron", "the moon and the tide", "pass the letter book", "all is well known") * 20:
+        s = table[np.frombuffer(f"  {w} ".encode(), np.uint8)]
+        for x in zip(s, s[1:], s[2:]):
+            cube[x] += 1
+    return toxicity.CharModel(cube[:toxicity.SYMBOLS, :toxicity.SYMBOLS, :toxicity.SYMBOLS].copy())
+
+
+def brute_decode(chars, text):
+    """Every path through the lattice."""
+    paths = [((0, 0), 0.0, "")]
+    for i, c in enumerate(text):
+        made = []
+        for (a, b), score, out in paths:
+            for s, ch, cost in chars.options(text, i, c):
+                if s is None or (s == 0 and b == 0):
+                    made.append(((a, b), score + cost, out + ("" if s is None else ch)))
+                else:
+                    made.append(((b, s), score + cost + chars.logp[a, b, s], out + ch))
+        paths = made
+    return max(score + (chars.logp[a, b, 0] if b else 0.0) for (a, b), score, _ in paths), {out.strip() for (a, b), score, out in paths}, paths
+
+
+@pytest.mark.parametrize("text", ["1d10t", "$tup1d", "m0r0n", "stuupiid", "s t u p", "i-d-i-o-t", "0*1", "mooo0n", "a.b", "", "tt1de"])
+def test_viterbi_is_the_best_path(text):
+    chars = _small_model()
+    best, _, paths = brute_decode(chars, text)
+    got = chars.decode(text)
+    assert any(out.strip() == got and abs(score + (chars.logp[a, b, 0] if b else 0.0) - best) < 1e-9 for (a, b), score, out in paths)
+
+
+def test_long_stretches_are_decoded_whole():
+    chars = _small_model()
+    assert chars.decode("stuuuupid" * 200) == chars.decode("stuuuupid" * 2)[:6] * 200
+    assert len(toxicity.Reader(chars).words("m0r0n-" * 3000)) >= 3000
+
+
+def _scorer():
+    chars = _small_model()
+    model = toxicity.Model(chars, {"stupid": (90, 0), "stup*": (95, 0), "idiot": (80, 1)}, 100, 900, coefficients=(-8.0, 3.0, 0.5, 0.5))
+    return model, toxicity.Scorer(model)
+
+
+def test_score_is_the_logistic_of_the_strongest_words():
+    model, scorer = _scorer()
+    w = toxicity.weight(90, 0, 100, 900)
+    assert abs(w - (np.log((90.5 - 1.64 * 90.25 ** 0.5) / 101) - np.log(0.5 / 901))) < 1e-12
+    strong = max(w, toxicity.weight(95, 0, 100, 900))
+    z = -8 + 3 * strong + 0.5 * min(1, (strong - 3) / 2)
+    for text in ("stupid", "a stupid moon", "stupid stupid"):
+        assert abs(scorer.batch([text])[0] - 1 / (1 + np.exp(-z))) < 1e-12
+    assert scorer.batch(["", "the moon"]) == [1 / (1 + np.exp(8.0))] * 2
+
+
+@pytest.mark.parametrize("text", ["stuupid", "stu-pid", "s  t  u  p  i  d", "s\tt\nu p i d", "the.stu-pid moon", "st_u.pid", "STUPPID", "s t u p i d " * 400, "id-iott"])
+def test_disguises_are_read(text):
+    assert _scorer()[1].batch(["the moon " + text + " the tide"])[0] > 0.9
+
+
+@pytest.mark.parametrize("text", ["the letter book is well-known", "a b c d e f", "all moon.tide passes", "1 2 3 4 5", "stood up in the pool"])
+def test_plain_text_stays_plain(text):
+    assert _scorer()[1].batch([text])[0] < 0.1
+
+
 # -------------------------------------------------------------- 8
 
 
@@ -324,13 +479,26 @@ def test_mixing(spark, hard, empty):
     assert all(abs(t - n) <= 40 for t, n in by.values())
     assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(hard, block=4, shard_words=500).collect()))
     assert mixing.mix(empty).count() == 0
-    once = hard.dropDuplicates(["doc_id"])
-    out = mixing.mixed(once.withColumn("n_chars", F.length("text")), block=4)
-    plan = {r["doc_id"]: r["taken"] for r in mixing.mix(once, block=4).collect()}
-    made = {}
-    for r in out.collect():
-        made[r["doc_id"]] = made.get(r["doc_id"], 0) + len(r["text"].encode().split())
-    assert made == {k: v for k, v in plan.items() if v}
+    for df in (hard.dropDuplicates(["doc_id"]), hard):
+        out = mixing.mixed(df.withColumn("n_chars", F.length("text")), block=4)
+        plan, made = {}, {}
+        for r in mixing.mix(df, block=4).collect():
+            plan[r["doc_id"]] = plan.get(r["doc_id"], 0) + r["taken"]
+        for r in out.collect():
+            made[r["doc_id"]] = made.get(r["doc_id"], 0) + len(r["text"].encode().split())
+            assert r["n_chars"] == len(r["text"])
+        assert made == {k: v for k, v in plan.items() if v}
+
+
+def test_quotas_of_many_shards_add_up(spark, monkeypatch):
+    """Seats dealt to groups of shards first."""
+    monkeypatch.setattr(mixing, "TREE", 3)
+    rng = random.Random(8)
+    df = spark.createDataFrame([(i, words(rng, rng.randrange(60)), f"s{i % 2}") for i in range(600)], "doc_id long, text string, source string")
+    rows = mixing.mix(df, block=4, shard_words=300).collect()
+    for s in ("s0", "s1"):
+        own = [r for r in rows if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 150 and all(r["taken"] <= 2 * r["size"] for r in own)
 
 
 # -------------------------------------------------------------- 9
