@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import unused
 from .urls import DOCUMENT_EXTENSIONS
 
 _SKIPPED = re.compile(r"^(mailto:|javascript:|tel:|data:|ftp:|#)", re.I)
@@ -194,11 +195,11 @@ def metadata(parsed: DataFrame, url_col: str = "url") -> DataFrame:
     """
     from .content import split_subjects
 
-    m = F.col("metas")
+    m, nodes = F.col("metas"), unused(parsed, "nodes")
     node = F.expr("filter(transform(flatten(transform(json_ld, x -> coalesce(from_json(if(ltrim(x) like '{%', concat('[', x, ']'), x), 'array<struct<name:string,headline:string,description:string,abstract:string,datePublished:string,dateCreated:string,author:string>>'), array()))), x -> x), x -> x is not null)")
-    present = lambda k: F.filter(F.transform(F.col("__ld"), lambda n: F.nullif(F.trim(F.regexp_replace(n[k], r"\s+", " ")), F.lit(""))), lambda x: x.isNotNull())
+    present = lambda k: F.filter(F.transform(F.col(nodes), lambda n: F.nullif(F.trim(F.regexp_replace(n[k], r"\s+", " ")), F.lit(""))), lambda x: x.isNotNull())
     ld = lambda *ks: F.coalesce(*[F.try_element_at(present(k), F.lit(1)) for k in ks])
-    df = parsed.withColumn("__ld", node)
+    df = parsed.withColumn(nodes, node)
     title = F.coalesce(_first(m, "citation_title"), _first(m, "dc.title", "dcterms.title"), _first(m, "og:title"))
     abstract = F.coalesce(_first(m, "citation_abstract"), _first(m, "dcterms.abstract", "dc.description"), _first(m, "og:description", "description"), ld("description", "abstract"))
     bare = F.trim(F.regexp_replace(F.col("page_title"), r"\s+", " "))
@@ -208,7 +209,9 @@ def metadata(parsed: DataFrame, url_col: str = "url") -> DataFrame:
     folder = F.regexp_extract(F.col(url_col), r"^([A-Za-z]+://[^?#]*/)", 1)
     whole = F.when(pdf.rlike("^[A-Za-z]+://"), pdf).when(pdf.startswith("//"), F.concat(F.lit("https:"), pdf)).when(pdf.startswith("/"), F.concat(base, pdf)).otherwise(F.concat(folder, pdf))
     authors = _or_all(_all(m, "citation_author"), _all(m, "dc.creator", "dc.contributor"))
-    author_ld = F.when(ld("author").isNotNull(), F.array(F.coalesce(F.get_json_object(ld("author"), "$.name"), ld("author"))))
+    # one author or several, each a name or an object with one
+    listed = lambda a: F.when(a.startswith("["), F.from_json(a, "array<string>")).otherwise(F.array(a))
+    author_ld = F.filter(F.transform(listed(ld("author")), lambda a: F.when(a.startswith("{"), F.get_json_object(a, "$.name")).otherwise(a)), lambda a: a.isNotNull())
     authors = F.when(F.size(authors) > 0, authors).otherwise(F.coalesce(author_ld, F.array().cast("array<string>")))
     meta = F.struct(
         F.coalesce(title, ld("name", "headline"), last).alias("title"),
@@ -219,4 +222,4 @@ def metadata(parsed: DataFrame, url_col: str = "url") -> DataFrame:
         F.coalesce(_first(m, "citation_doi"), _first(m, "dc.identifier.doi")).alias("doi"),
         split_subjects(_or_all(_all(m, "citation_keywords"), _all(m, "dc.subject"))).alias("subjects"),
         F.coalesce(whole, F.col("js_target")).alias("pdf_url"))
-    return df.withColumn("meta", meta).drop("__ld")
+    return df.withColumn("meta", meta).drop(nodes)

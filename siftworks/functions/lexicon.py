@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import fold, has_phrase, normalize_text, padded
+from .text import fold, has_phrase, normalize_text, padded, unused
 
 STRONG, WEAK, NEGATIVE = "strong", "weak", "negative_sample"
 
@@ -107,11 +107,15 @@ def scoring_body(abstract: Column, subjects: Column) -> Column:
 def with_score(df: DataFrame, lex: Lexicon, title: Column, body: Column, terms: bool = True) -> DataFrame:
     """df with lexicon_score, strong_in_title, adversarial_in_title, structural_hits, tier and matched_terms.
 
-    The normalised columns get a projection of their own below the tests, so each text is normalised once.
+    The normalised texts come out of a one-row generator: a filter on tier or score then stays above it, where Catalyst
+    would write the normalisation into every test of a filter that it pushes below a plain projection.
     """
-    base = df.withColumn("__t", padded(normalize_text(title))).withColumn("__b", padded(normalize_text(body)))
-    out = base.withColumns(score_columns(lex, F.col("__t"), F.col("__b")))
+    t = unused(df, "texts")
+    texts = F.struct(padded(normalize_text(title)).alias("title"), padded(normalize_text(body)).alias("body"))
+    base = df.withColumn(t, F.explode_outer(F.array(texts)))
+    titles, bodies = F.col(f"{t}.title"), F.col(f"{t}.body")
+    out = base.withColumns(score_columns(lex, titles, bodies))
     out = out.withColumn("tier", tier(F.col("lexicon_score"), F.col("strong_in_title"), F.col("adversarial_in_title"), lex.weights))
     if terms:
-        out = out.withColumn("matched_terms", matched_terms(lex, F.col("__t"), F.col("__b")))
-    return out.drop("__t", "__b")
+        out = out.withColumn("matched_terms", matched_terms(lex, titles, bodies))
+    return out.drop(t)

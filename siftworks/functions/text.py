@@ -6,7 +6,7 @@ import re
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What ends a line: \n, \r\n, \r and the other breaks of Unicode-aware line splitting.
@@ -51,9 +51,11 @@ def _ranges(chars) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def normalize_text(text: Column) -> Column:
+def normalize_text(text: Column, keep: str = "") -> Column:
     """Compatibility-decomposed, without accents, lower case, each run of other characters one space; null is empty.
 
+    `keep` (written for a character class) names further characters that stay, such as a line break between lines.
+
     ASCII text, the bulk, skips the folding; characters that fold to several are looked up only where there are any.
     """
     text = F.coalesce(text, F.lit(""))
@@ -63,7 +65,7 @@ def normalize_text(text: Column) -> Column:
     table = F.create_map(*[F.lit(x) for k, v in several.items() for x in (k, v)])
     many = F.array_join(F.transform(F.split(single, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
     flat = F.when(text.rlike("^[\\x00-\\x7f]*$"), text).otherwise(F.when(text.rlike(class_), many).otherwise(single))
-    return F.trim(F.regexp_replace(F.lower(flat), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.lower(flat), f"[^a-z0-9{keep}]+", " "))
 
 
 def let(value: Column, use) -> Column:
@@ -71,6 +73,12 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that df doesn't have, for a column of ours beside a caller's."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (stem, *(f"{stem}_{i}" for i in range(len(taken) + 1))) if n.lower() not in taken)
+
+
 def padded(normalized: Column) -> Column:
     return F.concat(F.lit(" "), normalized, F.lit(" "))
 
@@ -112,12 +120,59 @@ def section_titles(text: Column) -> Column:
     """Normalised headings: lines that start with # or are shorter than 80, without marks and numbering."""
     heads = F.filter(lines(text), lambda x: x.startswith("#") | (F.length(x) < 80))
     bare = F.transform(heads, lambda x: F.regexp_replace(F.regexp_replace(x, "^#+", ""), r"^[\s\d.]+", ""))
-    return F.filter(F.transform(bare, normalize_text), lambda x: x != "")
+    # all headings as one text: inside a lambda the normalisation would be written, and run, once for each of its branches
+    return F.filter(F.transform(F.split(normalize_text(F.array_join(bare, "\n"), "\\n"), "\n"), F.trim), lambda x: x != "")
 
 
 def strip_markup(html: Column) -> Column:
-    """Tags become line breaks; the five named entities and a few more are resolved."""
-    out = F.regexp_replace(html, "<[^>]+>", "\n")
-    for name, c in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("apos", "'"), ("nbsp", " "), ("amp", "&")):
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(c))
-    return out
+    """Tags become line breaks, character references what they stand for."""
+    return unescape(F.regexp_replace(html, "<[^>]+>", "\n"))
+
+
+_COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
+
+
+@lru_cache(maxsize=1)
+def _references() -> tuple[dict[str, str], dict[str, str]]:
+    """References by name: those that end in a semicolon, and the old ones that need none."""
+    from html.entities import html5
+
+    return {k[:-1]: v for k, v in html5.items() if k.endswith(";")}, {k: v for k, v in html5.items() if not k.endswith(";")}
+
+
+def unescape(text: Column) -> Column:
+    """Named, decimal and hexadecimal character references resolved as browsers do, once and from left to right; what is none stays.
+
+    Text without an ampersand, the bulk, is passed on. Else it is cut at its ampersands, and each part is looked up alone.
+    """
+    table, old = (F.create_map(*[F.lit(x) for kv in t.items() for x in kv]) for t in _references())
+    old_names = "|".join(sorted(_references()[1], key=len, reverse=True))
+
+    def one(part: Column) -> Column:
+        def resolved(name: Column) -> Column:
+            digits = F.regexp_replace(name, "^#[xX]?|;$", "")
+            code = F.when(F.length(F.ltrim(F.lit("0"), digits)) > 8, F.lit(0x110000)).when(name.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("bigint")).otherwise(digits.cast("bigint"))
+            bare = F.regexp_replace(name, ";$", "")
+            known = F.when(name == "", F.lit(None).cast("string"))
+            for k, v in _COMMON.items():
+                known = known.when(bare == k, F.lit(v))
+            known = known.when(name.startswith("#"), _character(F.least(code, F.lit(0x110000)).cast("int"))).when(name.endswith(";"), F.try_element_at(table, bare)).otherwise(F.try_element_at(old, bare))
+            return F.coalesce(F.concat(known, F.substring(part, F.length(name) + 1, F.length(part))), F.concat(F.lit("&"), part))
+
+        ended = F.regexp_extract(part, r"^(#[xX][0-9a-fA-F]+;?|#[0-9]+;?|[A-Za-z][A-Za-z0-9]{0,30};)", 1)
+        is_known = ended.startswith("#") | F.map_contains_key(table, F.regexp_replace(ended, ";$", ""))
+        return let(F.when((ended != "") & is_known, ended).otherwise(F.regexp_extract(part, f"^({old_names})", 1)), resolved)
+
+    whole = let(F.split(text, "&"), lambda p: F.concat(F.get(p, F.lit(0)), F.array_join(F.transform(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), one), "")))
+    return F.when(text.contains("&"), whole).otherwise(text)
+
+
+def _character(code: Column) -> Column:
+    """The character of a numeric reference: of Windows' code page from 128 to 159, none for controls and non-characters, U+FFFD for what is no character at all."""
+    byte = lambda at, mark: F.lpad(F.hex(F.shiftright(code, at).bitwiseAND(0x3F if mark == 0x80 else 0x7F) + mark), 2, "0")
+    utf8 = (F.when(code < 0x80, byte(0, 0)).when(code < 0x800, F.concat(byte(6, 0xC0), byte(0, 0x80))).when(code < 0x10000, F.concat(byte(12, 0xE0), byte(6, 0x80), byte(0, 0x80)))
+            .otherwise(F.concat(byte(18, 0xF0), byte(12, 0x80), byte(6, 0x80), byte(0, 0x80))))
+    windows = F.array(*[F.lit(bytes([i]).decode("cp1252", "replace").replace("\ufffd", chr(i))) for i in range(128, 160)])
+    none = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+    broken = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    return F.when(broken, F.lit("\ufffd")).when(code.between(128, 159), F.get(windows, code - 128)).when(none, F.lit("")).otherwise(F.decode(F.unhex(utf8), "UTF-8"))

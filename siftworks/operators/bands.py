@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import Lexicon
-from ..functions.text import count_phrase, fold, has_phrase, let, normalize_text, padded, section_titles
+from ..functions.text import count_phrase, fold, has_phrase, let, normalize_text, padded, section_titles, unused
 
 BANDS = ("both", "concept", "domain", "none")
 
@@ -58,24 +58,35 @@ def note(strong: Column, moderate: Column, words: Column, rules: BandRules) -> C
 
 
 def with_band(docs: DataFrame, lex: Lexicon, rules: BandRules, title: str = "title", text: str = "text") -> DataFrame:
-    """docs with words, counts, sections, both notes, band and the strongest terms.
+    """docs with words, sections, both notes, band and the strongest terms.
 
-    Each derived column that several others read stands in a projection of its own.
+    The normalised text and the headings come out of a one-row generator, and the counts out of a second, so that each is
+    computed once whatever is asked or filtered above.
     """
     d_strong, d_moderate = (tuple(dict.fromkeys(fold(t) for t in ts)) for ts in rules.domain)
-    x = F.col("__x")
-    df = docs.withColumn("__x", padded(normalize_text(F.col(text)))).withColumn("__h", section_titles(F.col(text)))
-    df = df.withColumns({"words": F.size(F.filter(F.split(F.trim(x), " "), lambda w: w != "")), "__cs": term_counts(x, lex.strong), "__cm": term_counts(x, lex.moderate),
-                         "__ds": term_counts(x, d_strong), "__dm": term_counts(x, d_moderate), "sections": canonical_sections(F.col("__h"), lex.structural)})
-    t = padded(normalize_text(F.col(title)))
+    texts = unused(docs, "texts")
+    df = docs.withColumn(texts, F.explode_outer(F.array(F.struct(padded(normalize_text(F.col(text))).alias("body"), padded(normalize_text(F.col(title))).alias("title"), section_titles(F.col(text)).alias("heads")))))
+    x, t = F.col(f"{texts}.body"), F.col(f"{texts}.title")
+    found = unused(df, "found")
+    df = df.withColumn(found, F.explode_outer(F.array(F.struct(
+        F.size(F.filter(F.split(F.trim(x), " "), lambda w: w != "")).alias("words"), term_counts(x, lex.strong).alias("cs"), term_counts(x, lex.moderate).alias("cm"),
+        term_counts(x, d_strong).alias("ds"), term_counts(x, d_moderate).alias("dm"), canonical_sections(F.col(f"{texts}.heads"), lex.structural).alias("sections")))))
+    cs, cm, ds, dm = (F.col(f"{found}.{c}") for c in ("cs", "cm", "ds", "dm"))
     in_title = reduce(lambda a, b: a | b, [has_phrase(t, s) for s in lex.strong], F.lit(False))
+    df = df.withColumns({"words": F.col(f"{found}.words"), "sections": F.col(f"{found}.sections")})
     df = df.withColumns({
-        "concept_note": note(F.col("__cs"), F.col("__cm"), F.col("words"), rules) + F.size("sections") * rules.structural + in_title.cast("int") * rules.title,
-        "domain_note": note(F.col("__ds"), F.col("__dm"), F.col("words"), rules), "domain_strong": total(F.col("__ds")),
-        "concept_terms": top_terms(F.concat("__cs", "__cm"), rules.top), "domain_terms": top_terms(F.concat("__ds", "__dm"), rules.top)})
+        "concept_note": note(cs, cm, F.col("words"), rules) + F.size("sections") * rules.structural + in_title.cast("int") * rules.title,
+        "domain_note": note(ds, dm, F.col("words"), rules), "domain_strong": total(ds),
+        "concept_terms": top_terms(F.concat(cs, cm), rules.top), "domain_terms": top_terms(F.concat(ds, dm), rules.top)})
     concept = F.col("concept_note") >= rules.concept_least
     domain = (F.col("domain_note") >= rules.domain_least) & (F.col("domain_strong") >= rules.domain_strong_least)
-    return df.withColumn("band", F.when(concept & domain, BANDS[0]).when(concept, BANDS[1]).when(domain, BANDS[2]).otherwise(BANDS[3])).drop("__x", "__h", "__cs", "__cm", "__ds", "__dm")
+    return df.withColumn("band", F.when(concept & domain, BANDS[0]).when(concept, BANDS[1]).when(domain, BANDS[2]).otherwise(BANDS[3])).drop(texts, found)
+
+
+def band_order(banded: DataFrame, band: str, key: str = "sha256") -> DataFrame:
+    """The list of a band: greatest note first (in the domain's list the domain's, else the concept's), then by key."""
+    by = "domain_note" if band == BANDS[2] else "concept_note"
+    return banded.where(F.col("band") == band).orderBy(F.desc(by), key)
 
 
 def band_matrix(banded: DataFrame, sources: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import legible, let, lines, word_count
+from ..functions.text import legible, let, lines, unused, word_count
 
 PAGE_NUMBER = r"(?i)^\s*(page\s*)?\d{1,4}\s*$"
 
@@ -64,6 +64,22 @@ def union_texts(extracted: DataFrame, delivered: DataFrame, ocr: DataFrame | Non
     """Both kinds of texts with their origin; extracted ones are marked if they went through character recognition."""
     marked = extracted.withColumn("origin", F.lit("extracted"))
     if ocr is not None:
-        flags = ocr.where("ocr").select("sha256").distinct().withColumn("__ocr", F.lit(True))
-        marked = marked.join(flags, "sha256", "left").withColumn("origin", F.when(F.col("__ocr"), "extracted_ocr").otherwise("extracted")).drop("__ocr")
+        flag = unused(marked, "by_ocr")
+        flags = ocr.where("ocr").select("sha256").distinct().withColumn(flag, F.lit(True))
+        marked = marked.join(flags, "sha256", "left").withColumn("origin", F.when(F.col(flag), "extracted_ocr").otherwise("extracted")).drop(flag)
     return marked.unionByName(delivered.withColumn("origin", F.lit("delivered")), allowMissingColumns=True)
+
+
+def with_fallback(extracted: DataFrame, recognised: DataFrame, text: str = "text") -> DataFrame:
+    """extracted (sha256, text, ...) with text, ocr, legible and pages: a text that isn't legible gives way to the recognised one.
+
+    recognised: sha256, text, from whatever reads page images; only illegible documents need to be in it. What neither
+    can read stays as it is, marked illegible. A form feed ends a page, and a last page needs none.
+    """
+    other = unused(extracted, "other")
+    joined = extracted.join(recognised.select("sha256", F.col(text).alias(other)), "sha256", "left")
+    poor = ~legible(F.col(text), 0) & F.col(other).isNotNull()
+    out = joined.withColumn("ocr", poor).withColumn(text, F.when(F.col("ocr"), F.col(other)).otherwise(F.col(text))).drop(other)
+    body = F.coalesce(F.col(text), F.lit(""))
+    pages = F.regexp_count(body, F.lit("\f")) + (~body.endswith("\f") & (body != "")).cast("int")
+    return out.withColumns({"legible": legible(F.col(text), 0), "pages": pages})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import unused
+
 PENDING, CLAIMED, VISITED, SKIPPED, FAILED, EMITTED = "pending", "claimed", "visited", "skipped", "failed", "emitted"
 
 
@@ -54,7 +56,27 @@ def url_head(urls: DataFrame, n: int, kind: str = "page") -> DataFrame:
 
 def set_state(urls: DataFrame, done: DataFrame) -> DataFrame:
     """urls with the states of done (source, url, state) where it has them."""
-    return urls.join(done.select("source", "url", F.col("state").alias("__s")), ["source", "url"], "left").withColumn("state", F.coalesce("__s", "state")).drop("__s")
+    new = unused(urls, "new_state")
+    return urls.join(done.select("source", "url", F.col("state").alias(new)), ["source", "url"], "left").withColumn("state", F.coalesce(new, "state")).drop(new)
+
+
+def reset(urls: DataFrame, source: str | None = None) -> DataFrame:
+    """The queue without a source's urls, or empty."""
+    return urls.limit(0) if source is None else urls.where(~F.col("source").eqNullSafe(source))
+
+
+def emit(urls: DataFrame, seen: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(documents to hand on, queue in which they are emitted): pending documents, those that `seen` (source, url) has set aside."""
+    waiting = urls.where((F.col("state") == PENDING) & (F.col("kind") == "document"))
+    if seen is not None:
+        waiting = waiting.join(seen.select("source", "url").distinct(), ["source", "url"], "left_anti")
+    state = F.when((F.col("state") == PENDING) & (F.col("kind") == "document"), EMITTED).otherwise(F.col("state"))
+    return waiting, urls.withColumn("state", state)
+
+
+def residual_documents(urls: DataFrame) -> DataFrame:
+    """Documents that a stopped crawl has found but not handed on, best first."""
+    return urls.where((F.col("kind") == "document") & F.col("state").isin(PENDING, CLAIMED)).orderBy(F.desc("priority"), "depth", "seq")
 
 
 def reopen(urls: DataFrame, from_state: str = CLAIMED, kind: str | None = None) -> DataFrame:
@@ -76,15 +98,24 @@ def host_budget(visits: DataFrame, cap: int, host: str = "host", order: tuple[st
     return visits.withColumn("nth", F.row_number().over(Window.partitionBy(host).orderBy(*order))).withColumn("allowed", F.col("nth") <= cap)
 
 
-def throttle(requests: DataFrame, rate: float, host: str = "host", arrival: str = "arrival", order: tuple[str, ...] = ("seq",)) -> DataFrame:
-    """requests with `start`: the later of its arrival and `rate` after the host's previous start, without a loop.
+def throttle(requests: DataFrame, rate: float, host: str = "host", arrival: str = "arrival", order: tuple[str, ...] = ("seq",), delay: str | None = None, pause: str | None = None) -> DataFrame:
+    """requests with `start`: the later of its arrival and one interval after the host's previous start, without a loop.
 
-    start_n = n rate + max over k <= n of (arrival_k - k rate).
+    The interval is `rate`, or the request's `delay` column (a host's crawl delay) where that is longer; `pause` is a
+    column of seconds that a host asks to be left alone after that request. A request may start once all intervals and
+    pauses since any earlier arrival are over: start_n = s_n + max over k <= n of (arrival_k - s_k), s the running sum of
+    what lies between. The window holds one host, as exact order needs; a host's requests are paced, so it has no more
+    rows than seconds have passed.
     """
-    n = F.row_number().over(Window.partitionBy(host).orderBy(*order)).cast("double")
-    running = Window.partitionBy(host).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = requests.withColumn("__n", n).withColumn("__m", F.col(arrival) - F.col("__n") * rate)
-    return out.withColumn("start", F.col("__n") * rate + F.max("__m").over(running)).drop("__n", "__m")
+    own = Window.partitionBy(host).orderBy(*order)
+    running = own.rowsBetween(Window.unboundedPreceding, 0)
+    step, most = unused(requests, "step"), unused(requests, "most")
+    gap = F.greatest(F.lit(float(rate)), F.coalesce(F.col(delay), F.lit(0.0))) if delay else F.lit(float(rate))
+    if pause:
+        gap = F.greatest(gap, F.coalesce(F.lag(pause).over(own), F.lit(0.0)))
+    out = requests.withColumn(step, gap).withColumn(step, F.sum(step).over(running))
+    out = out.withColumn(most, F.max(F.col(arrival) - F.col(step)).over(running))
+    return out.withColumn("start", F.col(step) + F.col(most)).drop(step, most)
 
 
 def discovery_curve(visits: DataFrame, found: str = "documents", by: str = "source", order: str = "seq") -> DataFrame:
@@ -95,18 +126,19 @@ def discovery_curve(visits: DataFrame, found: str = "documents", by: str = "sour
 
 def with_policy(rows: DataFrame, policies: DataFrame, defaults: dict[str, Column], host: str = "host") -> DataFrame:
     """rows with each policy column of their host, or its default."""
-    p = policies.select(F.col(host), *[F.col(c).alias(f"__{c}") for c in defaults])
-    return rows.join(p, host, "left").withColumns({c: F.coalesce(F.col(f"__{c}"), d) for c, d in defaults.items()}).drop(*[f"__{c}" for c in defaults])
+    p = policies.select(F.col(host), F.struct(*defaults).alias(policy := unused(rows, "policy")))
+    return rows.join(p, host, "left").withColumns({c: F.coalesce(F.col(f"{policy}.{c}"), d) for c, d in defaults.items()}).drop(policy)
 
 
 def robots_allowed(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """urls (host, path) with `allowed`: the longest matching rule of the host decides, allow wins ties, none allows.
 
-    rules: host, prefix, allow.
+    rules: host, prefix, allow. Judged once for each (host, path), by which the verdict is joined back.
     """
-    u = urls.withColumn("__id", F.monotonically_increasing_id())
-    best = u.join(rules, "host").where(F.col("path").startswith(F.col("prefix"))).groupBy("__id").agg(F.max(F.struct(F.length("prefix").alias("n"), F.col("allow").alias("a"))).alias("b"))
-    return u.join(best, "__id", "left").withColumn("allowed", F.coalesce("b.a", F.lit(True))).drop("__id", "b")
+    cases = urls.select("host", "path").where("host IS NOT NULL AND path IS NOT NULL").distinct()
+    best = cases.join(rules.select("host", "prefix", "allow"), "host").where(F.col("path").startswith(F.col("prefix")))
+    verdict = best.groupBy("host", "path").agg(F.max(F.struct(F.length("prefix").alias("n"), F.col("allow").alias("a"))).alias(v := unused(urls, "verdict")))
+    return urls.join(verdict, ["host", "path"], "left").withColumn("allowed", F.coalesce(F.col(f"{v}.a"), F.lit(True))).drop(v)
 
 
 def worker_count(hosts: DataFrame, concurrency: str = "concurrency", most: int = 32) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.content import sniff_kind, storage_path
+from ..functions.text import unused
 from .records import first_writer
 
 DOCUMENT_KINDS = ("pdf", "zip", "ole")
@@ -50,9 +51,11 @@ def conditional(pending: DataFrame, docs: DataFrame) -> DataFrame:
 
 def withdraw(docs: DataFrame, redistributions: DataFrame) -> DataFrame:
     """docs with the status withdrawn for keys that aren't available any more. redistributions: key, available string."""
-    gone = redistributions.where(F.lower(F.col("available")).isin("false", "none")).select("key").distinct().withColumn("__w", F.lit(True))
-    return docs.join(gone, "key", "left").withColumn("status", F.when(F.col("__w"), "withdrawn").otherwise(F.col("status"))).drop("__w")
+    flag = unused(docs, "gone")
+    gone = redistributions.where(F.lower(F.col("available")).isin("false", "none")).select("key").distinct().withColumn(flag, F.lit(True))
+    return docs.join(gone, "key", "left").withColumn("status", F.when(F.col(flag), "withdrawn").otherwise(F.col("status"))).drop(flag)
 
 
 def capped_by_term(hits: DataFrame, cap: int = 500, term: str = "term", order: str = "pos") -> DataFrame:
-    return hits.withColumn("__r", F.row_number().over(Window.partitionBy(term).orderBy(order))).where(F.col("__r") <= cap).drop("__r")
+    nth = unused(hits, "nth")
+    return hits.withColumn(nth, F.row_number().over(Window.partitionBy(term).orderBy(order))).where(F.col(nth) <= cap).drop(nth)

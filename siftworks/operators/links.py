@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import Lexicon, score_columns
-from ..functions.text import normalize_text, padded
+from ..functions.text import normalize_text, padded, unused
 from ..functions.urls import canonicalize, is_noise, url_text
 
 
@@ -28,13 +28,15 @@ def with_priority(links: DataFrame, lex: Lexicon, w: LinkWeights = LinkWeights()
     """links (url, anchor, context, depth, is_document) with from_url, from_anchor, from_context, noise and priority; 0 throughout if not enabled."""
     if not enabled:
         return links.withColumns({c: F.lit(0.0) for c in ("from_url", "from_anchor", "from_context", "priority")} | {"noise": F.lit(False)})
-    df = links.withColumns({"__u": padded(normalize_text(url_text(F.col("url")))), "__a": padded(normalize_text(F.col("anchor"))), "__c": padded(normalize_text(F.col("context"))), "noise": is_noise(F.col("url"))})
+    t = unused(links, "texts")
+    texts = F.struct(padded(normalize_text(url_text(F.col("url")))).alias("url"), padded(normalize_text(F.col("anchor"))).alias("anchor"), padded(normalize_text(F.col("context"))).alias("context"))
+    df = links.withColumn(t, F.explode_outer(F.array(texts))).withColumn("noise", is_noise(F.col("url")))
     none = F.lit("  ")
-    df = df.withColumns({"from_url": score_columns(lex, F.col("__u"), none)["lexicon_score"], "from_anchor": score_columns(lex, F.col("__a"), none)["lexicon_score"],
-                         "from_context": score_columns(lex, none, F.col("__c"))["lexicon_score"]})
+    df = df.withColumns({"from_url": score_columns(lex, F.col(f"{t}.url"), none)["lexicon_score"], "from_anchor": score_columns(lex, F.col(f"{t}.anchor"), none)["lexicon_score"],
+                         "from_context": score_columns(lex, none, F.col(f"{t}.context"))["lexicon_score"]})
     priority = (F.col("from_url") * w.url + F.col("from_anchor") * w.anchor + F.col("from_context") * w.context
                 + F.coalesce(F.col("is_document"), F.lit(False)).cast("int") * w.document - F.col("depth") * w.depth - F.col("noise").cast("int") * w.noise)
-    return df.withColumn("priority", priority).drop("__u", "__a", "__c")
+    return df.withColumn("priority", priority).drop(t)
 
 
 def exploded(pages: DataFrame, *keep: str) -> DataFrame:
@@ -51,7 +53,8 @@ def describes(documents: DataFrame, pages: DataFrame) -> DataFrame:
 
     pages: url, meta, documents. A parent that isn't known counts as a listing.
     """
-    p = pages.select(F.col("url").alias("parent"), "meta", F.col("documents").alias("__n"))
+    n = unused(documents, "siblings")
+    p = pages.select(F.col("url").alias("parent"), "meta", F.col("documents").alias(n))
     joined = documents.join(p, "parent", "left")
-    own = F.coalesce(canonicalize(F.col("meta.pdf_url")) == canonicalize(F.col("url")), F.lit(False)) | (F.coalesce("__n", F.lit(99)) == 1)
-    return joined.withColumn("meta", F.when(own, F.col("meta"))).withColumn("is_landing", F.col("meta").isNotNull()).drop("__n")
+    own = F.coalesce(canonicalize(F.col("meta.pdf_url")) == canonicalize(F.col("url")), F.lit(False)) | (F.coalesce(n, F.lit(99)) == 1)
+    return joined.withColumn("meta", F.when(own, F.col("meta"))).withColumn("is_landing", F.col("meta").isNotNull()).drop(n)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import unused
+
 #: Columns of a record and their types.
 RECORD = dict(c.split(" ", 1) for c in (
     "source string, source_id string, title string, landing_url string, candidate_urls array<string>, abstract string, authors array<string>, organization string, pub_date string, doc_type string, "
@@ -35,40 +37,57 @@ def add_if_absent(known: DataFrame, new: DataFrame, key: str = "key", seq: str |
     fresh = new.join(known.select(key).distinct(), key, "left_anti")
     if seq is None:
         return fresh.dropDuplicates([key])
-    return fresh.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy(seq))).where("__r = 1").drop("__r")
+    nth = unused(fresh, "nth")
+    return fresh.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(seq))).where(F.col(nth) == 1).drop(nth)
 
 
 def discovery_funnel(scored: DataFrame, known: DataFrame | None = None, by: list[str] | None = None, negative: str = "negative_sample") -> DataFrame:
     """seen, export-controlled, dropped, new and known records and records by tier, in one pass."""
     flag = F.coalesce(F.col("export_control"), F.lit(False)) if "export_control" in scored.columns else F.lit(False)
-    df = scored.withColumn("__x", flag)
+    held, known_to = unused(scored, "held"), unused(scored, "known_to")
+    df = scored.withColumn(held, flag)
     if known is not None:
-        df = df.join(known.select("key").distinct().withColumn("__k", F.lit(True)), "key", "left")
+        df = df.join(known.select("key").distinct().withColumn(known_to, F.lit(True)), "key", "left")
     else:
-        df = df.withColumn("__k", F.lit(None).cast("boolean"))
-    kept = ~F.col("__x") & (F.col("tier") != negative)
+        df = df.withColumn(known_to, F.lit(None).cast("boolean"))
+    kept = ~F.col(held) & (F.col("tier") != negative)
     count = lambda c: F.count_if(c)
     return df.groupBy(*(by or [])).agg(
-        F.count(F.lit(1)).alias("seen"), count(F.col("__x")).alias("export_controlled"), count(~F.col("__x") & (F.col("tier") == negative)).alias("dropped"),
-        count(kept & F.col("__k").isNull()).alias("new"), count(kept & F.col("__k").isNotNull()).alias("known"),
+        F.count(F.lit(1)).alias("seen"), count(F.col(held)).alias("export_controlled"), count(~F.col(held) & (F.col("tier") == negative)).alias("dropped"),
+        count(kept & F.col(known_to).isNull()).alias("new"), count(kept & F.col(known_to).isNotNull()).alias("known"),
         count(kept & (F.col("tier") == "strong")).alias("strong"), count(kept & (F.col("tier") == "weak")).alias("weak"))
 
 
-def content_table(stored: DataFrame, sha: str = "sha256", key: str = "key", seq: str = "seq", carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row a content: provenance (distinct keys in order of arrival), the first key and seq, and the first row's other columns.
+def provenance(stored: DataFrame, sha: str = "sha256", key: str = "key", seq: str = "seq") -> DataFrame:
+    """(sha, key, seq): every key of every content with its first arrival, one row each however many keys a content has."""
+    return stored.groupBy(sha, key).agg(F.min(seq).alias(seq))
+
+
+def content_table(stored: DataFrame, sha: str = "sha256", key: str = "key", seq: str = "seq", carry: tuple[str, ...] = (), listed: int | None = None) -> DataFrame:
+    """One row a content: provenance (distinct keys in order of arrival), the number of keys, the first key and seq, and the first row's other columns.
 
-    Provenance is first brought to one row a key, so an array holds distinct keys only.
+    `listed` makes provenance a view of that many first keys, for listings: the whole of it is then the table that
+    `provenance` gives, which no common content gathers in one row.
     """
-    first = stored.groupBy(sha, key).agg(F.min(seq).alias("__s"), *[F.min_by(c, seq).alias(c) for c in carry])
-    return first.groupBy(sha).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__s", key))), lambda x: x[key]).alias("provenance"), F.min("__s").alias("first_seq"),
-        F.min_by(key, "__s").alias("first_key"), *[F.min_by(c, "__s").alias(c) for c in carry])
+    first = unused(stored, "first")
+    per = stored.groupBy(sha, key).agg(F.min(seq).alias(first), *[F.min_by(c, seq).alias(c) for c in carry])
+    shown = per
+    if listed is not None:
+        # of each part of a content's keys the first `listed`, then of those: no window holds all keys of a content
+        part, nth = unused(per, "part"), unused(per, "nth")
+        some = per.withColumn(part, F.pmod(F.xxhash64(key), F.lit(64)))
+        some = some.withColumn(nth, F.row_number().over(Window.partitionBy(sha, part).orderBy(first, key))).where(F.col(nth) <= listed)
+        shown = some.withColumn(nth, F.row_number().over(Window.partitionBy(sha).orderBy(first, key))).where(F.col(nth) <= listed)
+    keys = shown.groupBy(sha).agg(F.transform(F.array_sort(F.collect_list(F.struct(first, key))), lambda x: x[key]).alias("provenance"))
+    facts = per.groupBy(sha).agg(F.count(F.lit(1)).alias("n_keys"), F.min(first).alias("first_seq"), F.min_by(key, first).alias("first_key"), *[F.min_by(c, first).alias(c) for c in carry])
+    return keys.join(facts, sha)
 
 
 def first_writer(rows: DataFrame, sha: str = "sha256", seq: str = "seq") -> DataFrame:
     """rows with status: the first of a content is stored, the others are duplicates. Minima per content, so no window holds a hot one."""
-    first = rows.groupBy(sha).agg(F.min(seq).alias("__first"))
-    return rows.join(first, sha).withColumn("status", F.when(F.col(seq) == F.col("__first"), "stored").otherwise("duplicate")).drop("__first")
+    first = unused(rows, "first")
+    firsts = rows.groupBy(sha).agg(F.min(seq).alias(first))
+    return rows.join(firsts, sha).withColumn("status", F.when(F.col(seq) == F.col(first), "stored").otherwise("duplicate")).drop(first)
 
 
 def overlap_pairs(keys: DataFrame, sha: str = "sha256", source: str = "source") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import unused
 from .records import duplicate_stats, overlap_pairs
 
 COUNTABLE = ("status", "tier", "source")
@@ -46,8 +47,9 @@ def totals_json(docs: DataFrame, content: DataFrame) -> DataFrame:
 
 def deltas(before: DataFrame, now: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
     """now minus before for every key of either; keys that didn't change are left out."""
-    b, a = before.select(*keys, F.col(n).alias("__b")), now.select(*keys, F.col(n).alias("__a"))
-    return a.join(b, keys, "full_outer").withColumn("delta", F.coalesce("__a", F.lit(0)) - F.coalesce("__b", F.lit(0))).where("delta <> 0").select(*keys, "delta")
+    was, is_ = unused(before, "was"), unused(now, "is")
+    b, a = before.select(*keys, F.col(n).alias(was)), now.select(*keys, F.col(n).alias(is_))
+    return a.join(b, keys, "full_outer").withColumn("delta", F.coalesce(is_, F.lit(0)) - F.coalesce(was, F.lit(0))).where("delta <> 0").select(*keys, "delta")
 
 
 def browse(docs: DataFrame, content: DataFrame, limit: int | None = None, abstract: str = "abstract") -> DataFrame:
@@ -58,13 +60,46 @@ def browse(docs: DataFrame, content: DataFrame, limit: int | None = None, abstra
     return out if limit is None else out.limit(limit)
 
 
-def corpus_html(cards: DataFrame, title: str = "Corpus", most: int = 5000) -> str:
-    """A page that lists at most `most` cards; a page is a report for people, not a table."""
+def corpus_html(cards: DataFrame, path: str, title: str = "Corpus", per_page: int = 2000) -> None:
+    """All cards as HTML pages of per_page rows under path, each with a search field, and facets of source and tier.
+
+    Pages are rows of a text table that executors write; the driver holds none of them.
+    """
+    cell = lambda c: F.concat(F.lit("<td>"), _escaped(F.coalesce(F.col(c).cast("string"), F.lit(""))))
+    facet = lambda c: F.concat(F.lit(f' data-{c}="'), _escaped(F.coalesce(F.col(c), F.lit(""))), F.lit('"'))
+    row = F.concat(F.lit("<tr"), facet("source"), facet("tier"), F.lit(">"), *[cell(c) for c in ("title", "source", "tier", "lexicon_score", "stored_path")])
+    n = cards.count()
+    pages = max(1, -(-n // per_page))
+    placed = cards.repartitionByRange(pages, F.desc("lexicon_score"), "title", "key").sortWithinPartitions(F.desc("lexicon_score"), "title", "key")
+
+    def paged(batches):
+        import pyarrow as pa
+
+        head = _PAGE.replace("@title", _plain(title))
+        rows = [r for b in batches for r in b.column(0).to_pylist()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([head + "\n".join(rows) + "</table>"])], names=["value"])
+
+    placed.select(row.alias("value")).mapInArrow(paged, "value string").write.mode("overwrite").text(path)
+
+
+def _plain(text: str) -> str:
     import html
 
-    rows = cards.select("title", "source", "tier", "lexicon_score", "stored_path").limit(most).collect()
-    cells = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in r) + "</tr>" for r in rows)
-    return f"<!doctype html><title>{html.escape(title)}</title><table><tr><th>title<th>source<th>tier<th>score<th>file</tr>{cells}</table>"
+    return html.escape(text)
+
+
+def _escaped(text: Column) -> Column:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = F.replace(text, F.lit(a), F.lit(b))
+    return text
+
+
+_PAGE = """<!doctype html><meta charset="utf-8"><title>@title</title><input id="words" placeholder="search"><input id="source" placeholder="source"><input id="tier" placeholder="tier">
+<script>addEventListener("input", () => { const of = (k) => document.getElementById(k).value.toLowerCase(); for (const r of document.querySelectorAll("tr[data-source]"))
+r.hidden = !r.textContent.toLowerCase().includes(of("words")) || !r.dataset.source.toLowerCase().includes(of("source")) || !r.dataset.tier.toLowerCase().includes(of("tier")) })</script>
+<table><tr><th>title<th>source<th>tier<th>score<th>file
+"""
 
 
 def stored_document(docs: DataFrame, sha256: str) -> DataFrame:
@@ -88,5 +123,23 @@ def gain(focused: DataFrame, breadth: DataFrame, by: str = "source") -> DataFram
     return f.join(b, by).withColumn("gain", F.try_divide("focused", "breadth"))
 
 
-def origin_counts(index: DataFrame, missing: Column | None = None) -> DataFrame:
-    return index.groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("legible")).alias("illegible"))
+def origin_counts(index: DataFrame, eligible: DataFrame | None = None, key: str = "sha256") -> DataFrame:
+    """Texts and illegible texts by origin; with the eligible documents also, in a row of origin missing, how many have no text."""
+    out = index.groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("legible")).alias("illegible"))
+    if eligible is None:
+        return out
+    without = eligible.select(key).distinct().join(index.select(key).distinct(), key, "left_anti")
+    return out.unionByName(without.agg(F.lit("missing").alias("origin"), F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("illegible")))
+
+
+def describe_sources(specs: DataFrame, docs: DataFrame) -> DataFrame:
+    """specs (source, kind, name, address) as cards: a title (the name, else the source in words), a host, and documents, stored and first seen.
+
+    Sources that only the documents know get a card of their own, of the kind unknown.
+    """
+    counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("status") == "stored").alias("stored"))
+    cards = specs.select("source", "kind", "name", "address").join(counts, "source", "full_outer")
+    words = F.initcap(F.regexp_replace("source", "[_-]+", " "))
+    host = F.nullif(F.regexp_extract(F.lower(F.coalesce("address", F.lit(""))), "^[a-z]+://([^/:?#]+)", 1), F.lit(""))
+    return cards.select("source", F.coalesce("kind", F.lit("unknown")).alias("kind"), F.coalesce(F.nullif(F.trim("name"), F.lit("")), words).alias("title"), host.alias("host"),
+                        F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("stored", F.lit(0)).alias("stored"))

@@ -6,9 +6,11 @@ scores their links, and merges them into the queue. The queue is checkpointed ea
 
 from __future__ import annotations
 
+import re
+import tempfile
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.html import extract, metadata
@@ -38,13 +40,20 @@ class CrawlRules:
 _URLS = "source string, url string, depth int, priority double, state string, kind string, anchor string, parent string, seq bigint"
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """The folder the session names; one of our own only on a single machine."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", "")
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="siftworks-checkpoint-"))
+
+
 def crawl(pages: DataFrame, lex: Lexicon, rules: CrawlRules, weights: LinkWeights = LinkWeights(), urls: DataFrame | None = None) -> DataFrame:
     """The queue after the crawl: every url found, pages visited in `seq` order, documents with kind document. pages: url, html."""
     spark = pages.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="siftworks-checkpoint-"))
+    ensure_checkpoint_dir(spark)
     known = pages.select(canonical_url(F.col("url")).alias("url"), "html")
     if urls is None:
         seeds = spark.createDataFrame([(rules.source, s, 0, weights.seed, PENDING, "page", None, None, i) for i, s in enumerate(rules.seeds)], _URLS)
@@ -58,15 +67,17 @@ def crawl(pages: DataFrame, lex: Lexicon, rules: CrawlRules, weights: LinkWeight
         if not n:
             break
         visited += n
-        got = metadata(extract(head.select("source", "url", "depth", F.col("anchor").alias("led")).join(known, "url"), extensions=rules.document_extensions))
-        got = got.select("source", "url", "depth", "led", "links", F.col("meta.title").alias("title"), F.col("meta.pdf_url").alias("pdf_url")).checkpoint(True)
-        links = exploded(got.withColumnsRenamed({"url": "parent", "depth": "d"}), "source", "parent", "d").withColumn("url", canonical_url(F.col("url")))
+        # a round's pages in the order in which they would be visited one by one, which orders what they lead to
+        rank = F.row_number().over(Window.orderBy(F.desc("priority"), "depth", "seq")) - 1  # at most `batch` rows
+        got = metadata(extract(head.select("source", "url", "depth", F.col("anchor").alias("led"), rank.alias("rank")).join(known, "url"), extensions=rules.document_extensions))
+        got = got.select("source", "url", "depth", "rank", "led", "links", F.col("meta.title").alias("title"), F.col("meta.pdf_url").alias("pdf_url")).checkpoint(True)
+        links = exploded(got.withColumnsRenamed({"url": "parent", "depth": "d"}), "source", "parent", "d", "rank").withColumn("url", canonical_url(F.col("url")))
         kept = links.where((F.col("d") < rules.most_depth) & in_scope(F.col("url"), rules.allow_hosts, rules.block_hosts, rules.allow_paths, rules.deny_paths) & trap_reason(F.col("url")).isNull())
         kept = kept.withColumn("is_document", F.col("is_document") | is_document(F.col("url"), rules.document_extensions, rules.document_patterns)).withColumn("depth", F.col("d") + 1)
         scored = with_priority(kept, lex, weights, rules.focused).unionByName(_declared(got, lex, weights, rules.focused), allowMissingColumns=True)
         found = scored.select("source", "url", F.col("depth").cast("int").alias("depth"), "priority", F.when(F.col("is_document"), "document").otherwise("page").alias("kind"), "anchor", "parent",
-                              (F.lit(number).cast("bigint") + F.col("pos")).alias("seq"))
-        number += 1_000_000
+                              (F.lit(number).cast("bigint") + F.col("rank").cast("bigint") * 1_000_000 + F.col("pos")).alias("seq"))
+        number += 1_000_000 * n
         urls = set_state(merge_found(urls, found), head.withColumn("state", F.lit(VISITED))).checkpoint(True)
         documents = urls.where("kind = 'document'").count()
     return urls
@@ -76,7 +87,7 @@ def _declared(got: DataFrame, lex: Lexicon, weights: LinkWeights, focused: bool)
     """The documents that pages name in their heads or wrapper scripts, at the page's own depth and after its links; scope and traps don't apply."""
     anchor = F.coalesce(F.nullif("title", F.lit("")), F.nullif("led", F.lit("")), F.lit("(citation_pdf_url)"))
     named = got.where(F.col("pdf_url").isNotNull()).select(
-        "source", F.col("url").alias("parent"), canonical_url(F.col("pdf_url")).alias("url"), "depth", F.size("links").alias("pos"), anchor.alias("anchor"), F.lit("").alias("context"), F.lit(True).alias("is_document"))
+        "source", F.col("url").alias("parent"), canonical_url(F.col("pdf_url")).alias("url"), "depth", "rank", F.size("links").alias("pos"), anchor.alias("anchor"), F.lit("").alias("context"), F.lit(True).alias("is_document"))
     return with_priority(named, lex, weights, focused).withColumn("priority", F.col("priority") + weights.declared)
 
 

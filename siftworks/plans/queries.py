@@ -59,7 +59,7 @@ def fn_sniff_kind(spark, d):
 
 
 @query("fn_strip_markup", """
-SELECT page_id, replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', chr(10), 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', chr(160)), '&amp;', '&') AS plain FROM pages""")
+SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', chr(10), 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;?', '&', 'g') AS plain FROM pages""")
 def fn_strip_markup(spark, d):
     return table(spark, d, "pages").select("page_id", ft.strip_markup(F.col("html")).alias("plain"))
 
@@ -130,7 +130,7 @@ _SHA = "ct AS (SELECT doc_id, source, lang, source || ':' || doc_id AS key, sha2
 
 
 @query("ag_content_dedup", f"""
-WITH {_SHA} SELECT sha256, string_agg(key, ',' ORDER BY doc_id) AS provenance, arg_min(key, doc_id) AS first_key, min(doc_id) AS first_seq, arg_min(size_bytes, doc_id) AS size_bytes FROM ct GROUP BY sha256""")
+WITH {_SHA} SELECT sha256, string_agg(key, ',' ORDER BY doc_id) AS provenance, count(*) AS n_keys, arg_min(key, doc_id) AS first_key, min(doc_id) AS first_seq, arg_min(size_bytes, doc_id) AS size_bytes FROM ct GROUP BY sha256""")
 def ag_content_dedup(spark, d):
     return records.content_table(_stored(spark, d), carry=("size_bytes",)).withColumn("provenance", F.array_join("provenance", ","))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fixtures, queries
+from . import fixtures, queries, state_queries
 
-QUERIES: dict = {**queries.QUERIES, **fixtures.QUERIES}
-ORACLES: dict[str, str] = dict(queries.ORACLES)
+QUERIES: dict = {**queries.QUERIES, **state_queries.QUERIES, **fixtures.QUERIES}
+ORACLES: dict[str, str] = {**queries.ORACLES, **state_queries.ORACLES, **fixtures.ORACLES}

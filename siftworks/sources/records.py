@@ -5,10 +5,12 @@ Payloads are read with explicit schemas; nothing here goes to the network.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.content import oai_datetime
+from ..functions.text import unused
 from ..functions.urls import canonical_url
 from ..operators.records import conform
 
@@ -157,16 +159,57 @@ def sitemap_urls(payloads: DataFrame, xml: str = "xml", *keep: str) -> DataFrame
     return payloads.withColumn("kind", kind).where("kind IS NOT NULL").select(*keep, "kind", F.posexplode(locs).alias("pos", "loc")).withColumn("loc", F.replace("loc", F.lit("&amp;"), F.lit("&")))
 
 
+def walk_sitemaps(files: DataFrame, roots: list[str], depth: int = 3) -> DataFrame:
+    """(url, depth) of the pages that sitemaps name, indexes followed `depth` levels down; each file is read once, at its first level.
+
+    files: url, body binary, gzip or plain; what isn't a sitemap leads nowhere. Levels are joins, the driver sees none of their rows.
+    """
+    spark = files.sparkSession
+    texts = files.select("url", gunzipped(F.col("body")).alias("xml"))
+    now = spark.createDataFrame([(r,) for r in dict.fromkeys(roots)], "url string")
+    seen, out = now, None
+    for level in range(depth + 1):
+        locs = sitemap_urls(texts.join(now, "url", "left_semi"), "xml")
+        pages = locs.where("kind = 'urls'").select(F.col("loc").alias("url"), F.lit(level).alias("depth"))
+        out = pages if out is None else out.unionByName(pages)
+        if level < depth:
+            now = locs.where("kind = 'index'").select(F.col("loc").alias("url")).distinct().join(seen, "url", "left_anti")
+            seen = seen.unionByName(now)
+    return out.groupBy("url").agg(F.min("depth").alias("depth"))
+
+
+def gunzipped(body: Column) -> Column:
+    """Text of a body that may be gzip; Spark has no function for that, so those bodies, and no others, go through Arrow batches."""
+
+    @F.pandas_udf("binary")
+    def plain(bodies: pd.Series) -> pd.Series:
+        import zlib
+
+        def one(b):
+            if b is None:
+                return None
+            try:
+                return zlib.decompress(b, 31)
+            except zlib.error:
+                return None
+
+        return bodies.map(one)
+
+    packed = F.hex(F.substring(body, 1, 2)) == "1F8B"
+    return F.coalesce(plain(F.when(packed, body)), F.when(~packed, body)).cast("string")
+
+
 def sitemap_budget(requests: DataFrame, most: int = 30, probe: int = 8, least_yield: float = 3.0, by: str = "source", order: str = "seq") -> DataFrame:
     """requests (source, seq, urls) with `used`: within the budget, and not after the walk was given up for its low yield."""
     from pyspark.sql import Window
 
     w = Window.partitionBy(by).orderBy(order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    df = requests.withColumn("n", F.row_number().over(w)).withColumn("__u", F.coalesce(F.sum("urls").over(before), F.lit(0)))
-    poor = ((F.col("n") - 1) >= probe) & (F.col("__u") < least_yield * (F.col("n") - 1))
+    found = unused(requests, "found")
+    df = requests.withColumn("n", F.row_number().over(w)).withColumn(found, F.coalesce(F.sum("urls").over(before), F.lit(0)))
+    poor = ((F.col("n") - 1) >= probe) & (F.col(found) < least_yield * (F.col("n") - 1))
     given_up = F.max(poor.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)) == 1
-    return df.withColumn("used", (F.col("n") <= most) & ~given_up).drop("__u")
+    return df.withColumn("used", (F.col("n") <= most) & ~given_up).drop(found)
 
 
 def load_specs(folder: str) -> list[dict]:

@@ -120,3 +120,77 @@ def test_sinks_and_stream(spark, tmp_path):
     for _ in range(2):
         ingest(spark.readStream.schema("key string, n int").parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_adapters_read_what_was_captured(spark, tmp_path):
+    import json
+
+    from siftworks.plans.fixtures import _CORE, _NTRS, _OAI
+    from siftworks.sources.adapters import ADAPTERS, environment
+
+    for name, text in (("ntrs", json.dumps(_NTRS)), ("core", json.dumps(_CORE)), ("rosap", _OAI)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "answer").write_text(text)
+    got = {n: sorted(r["source_id"] for r in a.discover(spark, str(tmp_path / n)).collect()) for n, a in ADAPTERS.items()}
+    assert got == {"ntrs": ["11", "12"], "core": ["1", "2"], "rosap": ["dot:92801"]}
+    assert environment("# c\nexport A='x y'\nB=1 # one\nC=\nnonsense\n", {"B": "2"}) == {"A": "x y", "B": "2", "C": ""}
+
+
+def test_a_batch_of_pages_is_ordered_like_single_visits(spark):
+    site = {"https://s.example/": '<a href="/a">a</a><a href="/b">b</a>', "https://s.example/a": '<a href="/a1.pdf">x</a><a href="/both.pdf">from a</a>', "https://s.example/b": '<a href="/both.pdf">from b</a><a href="/b1.pdf">y</a>'}
+    pages = spark.createDataFrame(list(site.items()), "url string, html string")
+    got = []
+    for batch in (1, 2):
+        urls = crawl(pages, LEXICON, CrawlRules(("https://s.example/",), allow_hosts=("s.example",), most_pages=3, focused=False, batch=batch))
+        docs = urls.where("kind = 'document'").orderBy("seq").collect()
+        assert len({r["seq"] for r in docs}) == len(docs)
+        got.append([(r["url"][18:], r["parent"][18:]) for r in docs])
+    assert got[0] == got[1] == [("a1.pdf", "a"), ("both.pdf", "a"), ("b1.pdf", "b")]
+
+
+def test_robots_verdicts_survive_a_reshuffled_input(spark):
+    urls = spark.createDataFrame([("h", f"/p{i}", i) for i in range(200)] + [(None, "/x", 1000), ("h", None, 1001)], "host string, path string, i int").repartition(7, F.rand())
+    rules = spark.createDataFrame([("h", "/p1", False), ("h", "/p19", True)], "host string, prefix string, allow boolean")
+    got = {r["i"]: r["allowed"] for r in frontier.robots_allowed(urls, rules).collect()}
+    assert got == {i: not str(i).startswith("1") or str(i).startswith("19") for i in range(200)} | {1000: True, 1001: True}
+
+
+def test_throttle_with_delays_matches_a_loop(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [("h", i * 10.0 * rng.random(), rng.choice([None, 1.0, 5.0]), rng.choice([None, None, 30.0]), i) for i in range(40)]
+    rows = [(h, a, d, p, i) for i, (h, a, d, p, _) in enumerate(sorted(rows, key=lambda r: r[1]))]
+    want, last, pause = [], None, 0.0
+    for _, a, d, p, _ in rows:
+        last = a if last is None else max(a, last + max(2.0, d or 0.0, pause))
+        pause = p or 0.0
+        want.append(round(last, 6))
+    df = spark.createDataFrame(rows, "host string, arrival double, delay double, pause double, seq int")
+    assert [round(r["start"], 6) for r in frontier.throttle(df, 2.0, delay="delay", pause="pause").orderBy("seq").collect()] == want
+
+
+def test_all_cards_are_listed(spark, tmp_path):
+    cards = spark.createDataFrame([(f"k{i}", f"Title <{i}>", "s", "weak", float(i), "p") for i in range(25)], "key string, title string, source string, tier string, lexicon_score double, stored_path string")
+    report.corpus_html(cards, str(tmp_path / "html"), per_page=10)
+    pages = [p.read_text() for p in (tmp_path / "html").glob("part-*") if p.stat().st_size]
+    assert sum(p.count("<td>Title &lt;") for p in pages) == 25 and len(pages) > 1 and all(p.startswith("<!doctype html>") for p in pages)
+
+
+def test_authors_of_linked_data(spark):
+    from siftworks.functions import html
+
+    pages = [(f"https://s.org/{i}", f'<script type="application/ld+json">{{"name": "N", "author": {a}}}</script>') for i, a in enumerate(['"A"', '{"name": "B"}', '[{"name": "C"}, "D"]', "[]"])]
+    got = [r["a"] for r in html.metadata(html.extract(spark.createDataFrame(pages, "url string, html string"))).orderBy("url").select(F.col("meta.authors").alias("a")).collect()]
+    assert got == [["A"], ["B"], ["C", "D"], []]
+
+
+def test_one_source_that_fails_leaves_the_others(spark):
+    from siftworks.plans.run import discover
+
+    rows = lambda: spark.createDataFrame([("a", "1", "tide table"), ("a", "2", "other")], "source string, source_id string, title string")
+    late = lambda: rows().withColumn("title", F.raise_error(F.lit("bad row")))
+    out = discover(spark, {"late": late, "a": rows, "b": rows}, LEXICON, spark.createDataFrame([], "key string"), skip=["b"])
+    assert {r["source"]: r["outcome"] for r in out.runs.collect()} == {"late": "failed", "a": "done"}
+    assert [r["key"] for r in out.new.collect()] == ["a:1"] and out.controlled.count() == 0
+    assert discover(spark, {}, LEXICON, spark.createDataFrame([], "key string")).new.count() == 0
