@@ -49,36 +49,64 @@ def near_lanes(planes: np.ndarray, queries: np.ndarray, word: np.ndarray, radius
     return item[on], ~over[on]
 
 
-def forest(fps: np.ndarray, bucket: np.ndarray, radius: int, lanes_at_once: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+class Buckets:
+    """Fingerprints sorted by bucket, as bit planes; buckets of one row are left out."""
+
+    def __init__(self, fps: np.ndarray, bucket: np.ndarray, radius: int, lanes_at_once: int = 1 << 18):
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(fps) else np.empty(0, np.int64)
+        sizes = np.diff(np.append(starts, len(fps)))
+        #: Places of the rows kept among all.
+        self.rows = np.flatnonzero(np.repeat(sizes > 1, sizes))
+        self.radius, self.at_once, self.own = radius, lanes_at_once, fps[self.rows]
+        sizes = sizes[sizes > 1]
+        starts, words = np.cumsum(sizes) - sizes, -(-sizes // 64)
+        if len(self.own):
+            self.planes, first = bit_planes(self.own, starts, words), np.cumsum(words) - words
+            self.per_row, self.row_first, self.row_start, self.row_end = (np.repeat(x, sizes) for x in (words, first, starts, starts + sizes))
+
+    def near(self):
+        """Arrays (a, b) of all rows of a bucket within the radius of each other, themselves included, some rows a at a time."""
+        ends, at = np.cumsum(self.per_row) if len(self.own) else np.empty(0, np.int64), 0
+        while at < len(self.own):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + self.at_once // 64, "right")))
+            q = np.repeat(np.arange(at, to), self.per_row[at:to])
+            w = np.arange(len(q)) - np.repeat(np.cumsum(self.per_row[at:to]) - self.per_row[at:to], self.per_row[at:to])
+            item, mask = near_lanes(self.planes, self.own[q], self.row_first[q] + w, self.radius)
+            if len(item):
+                k, lane = np.nonzero(np.unpackbits(mask.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+                a, b = q[item[k]], self.row_start[q[item[k]]] + w[item[k]] * 64 + lane
+                keep = b < self.row_end[a]
+                yield a[keep], b[keep]
+            at = to
+
+
+def forest(fps: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, root) of a spanning forest of the links inside each bucket; rows are sorted by bucket."""
-    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-    sizes = np.diff(np.append(starts, len(fps)))
-    many = np.repeat(sizes > 1, sizes)
-    rows = np.flatnonzero(many)
-    label = np.arange(len(fps))
-    if not len(rows):
-        return rows, rows
-    starts, sizes = np.cumsum(sizes[sizes > 1]) - sizes[sizes > 1], sizes[sizes > 1]
-    own, words = fps[rows], -(-sizes // 64)
-    planes, first = bit_planes(own, starts, words), np.cumsum(words) - words
-    label = np.arange(len(own))
-    per_row, row_first, row_start = np.repeat(words, sizes), np.repeat(first, sizes), np.repeat(starts, sizes)
-    ends = np.cumsum(per_row)
-    at = 0
-    while at < len(own):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + lanes_at_once // 64, "right")))
-        q = np.repeat(np.arange(at, to), per_row[at:to])
-        w = np.arange(len(q)) - np.repeat(np.cumsum(per_row[at:to]) - per_row[at:to], per_row[at:to])
-        item, mask = near_lanes(planes, own[q], row_first[q] + w, radius)
-        if len(item):
-            bits = np.unpackbits(mask.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            k, lane = np.nonzero(bits)
-            a, b = q[item[k]], row_start[q[item[k]]] + w[item[k]] * 64 + lane
-            keep = b < np.repeat(starts + sizes, sizes)[a]
-            _hook(label, a[keep], b[keep])
-        at = to
+    buckets = Buckets(fps, bucket, radius)
+    label = np.arange(len(buckets.own))
+    for a, b in buckets.near():
+        _hook(label, a, b)
     away = label != np.arange(len(label))
-    return rows[away], rows[label[away]]
+    return buckets.rows[away], buckets.rows[label[away]]
+
+
+def partners(fps: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, partner): for each row, of the rows within the radius the one that has most rows within its own, unless that is the row itself.
+
+    Both are within the radius of each other, and what many texts were made from is the partner of them all.
+    """
+    buckets = Buckets(fps, bucket, radius)
+    n = len(buckets.own)
+    degree = np.zeros(n, np.int64)
+    for a, _ in buckets.near():
+        degree += np.bincount(a, minlength=n)
+    best = degree * n + (n - 1 - np.arange(n))  # the greater degree, of equals the earlier row
+    chosen = best.copy()
+    for a, b in buckets.near():
+        np.maximum.at(chosen, a, best[b])
+    partner = n - 1 - chosen % max(n, 1)
+    away = partner != np.arange(n)
+    return buckets.rows[away], buckets.rows[partner[away]]
 
 
 def _hook(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -22,10 +23,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints; one of our own only where the session names none."""
+    """The shared folder for checkpoints; one of our own only on a single machine whose session names none."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", "")
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="siftworks-checkpoint-"))
     return sc.getCheckpointDir()
 
@@ -56,7 +59,7 @@ def partitions_for(df: DataFrame, bytes_each: int = 128 << 20) -> int:
 
 
 #: Keys that are joined apart, by a broadcast, and the rows from which on a key may be one of them.
-MOST_HOT, HOT_ROWS = 4096, 1 << 13
+MOST_HOT, HOT_ROWS = 4096, 256
 
 
 def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:

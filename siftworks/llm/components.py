@@ -1,7 +1,8 @@
 """Connected components over an edge table, by alternating large-star and small-star rounds.
 
-Each round keeps only minima per node (partial aggregation, no neighbour lists), so a node with very many neighbours
-costs no task more than its share; rounds are cut by checkpoints and nothing but a counter reaches the driver.
+Each round keeps only minima per node (partial aggregation, no neighbour lists), and the nodes of most neighbours are
+joined with their edges by a broadcast, so such a node costs no task more than its share; rounds are cut by checkpoints
+and nothing but counters reaches the driver.
 """
 
 from __future__ import annotations
@@ -9,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_hot, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """(child, parent), child > parent. Every node links its larger neighbours to the least of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("parent").alias("child"), F.col("child").alias("parent")))
-    least = both.groupBy(F.col("child").alias("node")).agg(F.min("parent").alias("low")).withColumn("low", F.least("node", "low"))
+    least = both.groupBy(F.col("child").alias("node")).agg(F.min("parent").alias("low"), F.count(F.lit(1)).alias("degree")).withColumn("low", F.least("node", "low"))
     # (u, v) with v > u gives (v, low(u)); u is the parent side of the oriented edge
-    return edges.join(least, edges.parent == least.node).select("child", F.col("low").alias("parent")).distinct()
+    return join_hot(edges.withColumnRenamed("parent", "node"), least, ["node"], "degree").select("child", F.col("low").alias("parent")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, by_place, documents, join_hot, materialize, text_bytes, without
+from .common import ASCII_SPACE, FEW_IDS, by_place, documents, join_hot, materialize, text_bytes, without
 
 PRIME = (1 << 31) - 1
 POINTS = (1_482_907_561, 931_084_627)
@@ -154,6 +154,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bits = min(filter_bits, 1 << max(20, (16 * repeated.count()).bit_length()))
     unequal = materialize(_unequal(docs, text_col, _bitmap(repeated, bits), bits, points, prime))
     # next to no fingerprint stands for unequal texts; rows of those that do are told apart by their SHA-256
+    unequal = F.broadcast(unequal) if unequal.count() <= FEW_IDS else unequal
     split = keyed.join(unequal.withColumn("split", F.lit(True)), ["fp", "n"], "left").withColumn("split", F.when(F.col("split"), F.col("sha")).otherwise(F.lit("")))
     first = F.min(F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("z"), "id", "row"))
     groups = split.groupBy("fp", "n", "split").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
@@ -173,7 +174,8 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # rows that share an id are told apart by their text, and of those that share that as well one stays
     clean = F.sha2(F.translate(F.coalesce(text, F.lit("")), " \t\n\x0b\x0c\r", ""), 256)
     kept = judged.where("kept").join(twice, judged["id"].eqNullSafe(twice["id"]), "left_semi").select("id", "own_sha").distinct()
-    found = rows.withColumn("sha", clean).join(kept, key.eqNullSafe(F.col("id")) & (F.col("sha") == F.col("own_sha")), "left_semi")
+    some = rows.join(F.broadcast(twice) if twice.count() <= FEW_IDS else twice, key.eqNullSafe(F.col("id")), "left_semi")
+    found = some.withColumn("sha", clean).join(kept, key.eqNullSafe(F.col("id")) & (F.col("sha") == F.col("own_sha")), "left_semi")
     hashed = [c for c, kind in rows.dtypes if "map<" not in kind and kind != "variant"]
     best = F.min_by(F.struct(*rows.columns), F.struct(-F.length(F.coalesce(text, F.lit(""))), F.xxhash64(*hashed))).alias("r")
     several = found.groupBy(key.alias("k"), "sha").agg(best).select("r.*")

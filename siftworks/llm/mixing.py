@@ -131,17 +131,17 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     A document of which nothing is taken has no row; its parts are runs of its words with the white space between them.
     Rows that share id, source and size get the plans of those rows, in the order of their texts' hashes.
     """
-    same = ["id", "source", "size"]
+    # one text for id, source and size, nulls told apart, by which rows are numbered and joined in one shuffle
+    same = lambda i, source, size: F.to_json(F.struct(i.alias("i"), source.alias("s"), size.alias("n")))
+    nth = lambda *order: F.row_number().over(Window.partitionBy("same").orderBy(*order))
     plan = mix(docs, id_col, text_col, source_col, **options)
-    nth = lambda *order: F.row_number().over(Window.partitionBy(*same).orderBy(*order))
-    plan = plan.select(F.col(id_col).alias("id"), "source", "size", "taken", "whole", "from", "to", "again")
-    plan = plan.withColumn("nth", nth("whole", "from", "to", "again")).where("taken > 0")
+    plan = plan.select(same(F.col(id_col), F.col("source"), F.col("size")).alias("same"), "size", "taken", "whole", "from", "to", "again")
+    plan = plan.withColumn("pnth", nth("whole", "from", "to", "again")).where("taken > 0")
     rows, names = by_place(docs)
     key, text, source = (rows[names.index(c)] for c in (id_col, text_col, source_col))
     size = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
-    rows = rows.withColumns({"id": key, "source": source, "size": size, "h": F.xxhash64(text)}).withColumn("nth", nth("h"))
-    plan = plan.toDF("pid", "psource", "psize", "taken", "whole", "from", "to", "again", "pnth")
-    joined = rows.join(plan, F.col("id").eqNullSafe(F.col("pid")) & F.col("source").eqNullSafe(F.col("psource")) & (F.col("size") == F.col("psize")) & (F.col("nth") == F.col("pnth")))
+    rows = rows.withColumn("same", same(key, source, size)).withColumn("nth", nth(F.xxhash64(text)))
+    joined = rows.join(plan, "same").where(F.col("nth") - F.col("pnth") == 0)
     n, at, length = len(names), names.index(text_col), names.index(length_col) if length_col in names else None
 
     def pieces(batches):

@@ -7,12 +7,14 @@ components of links are the groups.
 1. Buckets: runs are ordered, those common in a sample of documents last. Two sets of n runs that are similar share a
    run among the first n - ceil(0.8 n) + 1 of each (prefix filter), so those runs are the buckets' keys. The sample
    changes the cost only: any order gives the same links. The key of very many texts is cut into parts.
-2. SimHash: in every bucket the fingerprints of the runs are compared on bit planes with carry-save counters, and rows
-   within 15 bits give a spanning forest, whose links are compared on whole sets.
+2. SimHash: in every bucket the fingerprints of the runs are compared on bit planes with carry-save counters. Of the
+   texts within 15 bits a text's partner is the one with most such texts of its own, and each text is compared with its
+   partner on whole sets: one link a text and bucket, which joins copies with what they were made from.
 3. The rest: for a bucket whose texts aren't all joined by now, every pair of texts of different components that sizes
    and places allow is compared, first on parity sketches (a bit that an odd number of runs fall on; the bits in which
    two sketches differ are never more than the runs in which the sets differ), then on whole sets. So the links leave
-   out no pair that could join two components.
+   out no pair that could join two components. In a bucket of more than `SMALL` texts sketches are compared where the
+   bucket is, and only pairs that pass leave it.
 
 Pairs are dealt by pairs of blocks of texts: a sketch or set travels once a block, not once a pair, and pairs that a
 block's links have joined already are passed over.
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bit_slices import forest
+from .bit_slices import partners
 from .common import Recent, documents, join_hot, materialize, partitions_for, text_bytes
 from .components import components
 
@@ -40,6 +42,8 @@ SAMPLE, COMMON = 1 << 14, 1 << 18
 NO_WORDS = np.zeros(1, np.uint64)
 #: Texts of a block of pairs, and rows of a bucket's part.
 BLOCK, PART = 512, 4096
+#: Texts of a bucket up to which its pairs leave it to be compared: as many as the texts times half of this at most.
+SMALL = 8
 #: Rows that may be broadcast, of three numbers each.
 FEW = 1 << 18
 KEYS = "key bigint, part int, th bigint, fp bigint, n int, pos int"
@@ -217,7 +221,7 @@ def proposed(rows: DataFrame) -> DataFrame:
     def found(batches):
         for part in _groups(batches, 4):
             bucket = np.cumsum(np.append(0, (part[1:, :2] != part[:-1, :2]).any(axis=1)))
-            a, b = forest(part[:, 3].copy().view(np.uint64), bucket, RADIUS)
+            a, b = partners(part[:, 3].copy().view(np.uint64), bucket, RADIUS)
             yield _pairs(part[a, 2], part[b, 2])
 
     return rows.select("key", "part", "th", "fp").mapInArrow(found, "a bigint, b bigint").distinct()
@@ -228,41 +232,78 @@ def _pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
 
 
-def left_over(rows: DataFrame) -> DataFrame:
-    """(a, b), a < b: pairs of a key that could be similar and have different roots. rows: key, th, n, pos, root.
+def left_over(rows: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs of small buckets to compare on sketches, pairs of others that have passed): (a, b), a < b, of different roots.
 
-    A key of more than PART texts is cut into parts, and each pair of parts is a group of its own.
+    rows: key, th, n, pos, root. sketches: th, data. A key of more than PART texts is cut into parts, and each pair of
+    parts is a group of its own.
     """
     mixed = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    rows = materialize(join_hot(rows, mixed.select("key", "m"), ["key"], "m"))
+    small, large = rows.where(F.col("m") <= SMALL), rows.where(F.col("m") > SMALL)
+
+    def few(batches):
+        for part in _groups(batches, 6):
+            ends = np.flatnonzero(np.append(part[1:, 0] != part[:-1, 0], True)) + 1
+            sizes = np.diff(np.append(0, ends))
+            start = np.repeat(ends - sizes, sizes)
+            out = [np.empty((0, 2), np.int64)]
+            for step in range(1, SMALL):  # each row with the one `step` places on
+                x = np.arange(len(part) - step)
+                x = x[start[x] == start[x + step]]
+                y = x + step
+                _, _, th, n, pos, root = part.T
+                on = (root[x] != root[y]) & possible(n, pos, x, y)
+                out.append(np.stack([th[x[on]], th[y[on]]], axis=1))
+            yield _pairs(*np.concatenate(out).T)
+
     cuts = F.ceil(F.col("m") / PART)
-    rows = join_hot(rows, mixed.select("key", "m", cuts.alias("cuts")), ["key"], "m")
     own = F.pmod(F.xxhash64("th"), F.col("cuts"))
     every = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("cuts") - 1), lambda j: F.least(F.col("own"), j) * F.col("cuts") + F.greatest(F.col("own"), j))
-    rows = rows.withColumn("own", own).withColumn("pair", F.explode(every)).withColumn("pair", F.when(F.col("cuts") == 1, 0).otherwise(F.col("pair")))
+    large = large.withColumn("cuts", cuts).withColumn("own", own).withColumn("pair", F.explode(every)).withColumn("pair", F.when(F.col("cuts") == 1, 0).otherwise(F.col("pair")))
+    # whoever is in several buckets is sent a sketch for each; only those that are in one are
+    wanted = large.select("th").distinct()
+    large = large.join(sketches.join(wanted, "th", "left_semi").dropDuplicates(["th"]), "th").select("key", "pair", "th", "n", "pos", "root", "data")
 
-    def found(batches):
-        for part in _groups(batches, 6):
-            ends = np.flatnonzero(np.append((part[1:, :2] != part[:-1, :2]).any(axis=1), True)) + 1
-            out, waiting = [], 0
-            for s, e in zip(np.append(0, ends[:-1]), ends):
-                _, _, th, n, pos, root = part[s:e].T
-                step = max(1, (1 << 17) // max(1, e - s))
-                for at in range(0, e - s, step):
-                    x = np.arange(at, min(e - s, at + step))
-                    x, y = np.repeat(x, e - s), np.tile(np.arange(e - s), len(x))
-                    x, y = x[x < y], y[x < y]
-                    on = (root[x] != root[y]) & possible(n, pos, x, y)
-                    if on.any():
-                        out.append((th[x[on]], th[y[on]]))
-                        waiting += int(on.sum())
-                    if waiting > 1 << 17:
-                        yield _pairs(*(np.concatenate(c) for c in zip(*out)))
-                        out, waiting = [], 0
-            if out:
-                yield _pairs(*(np.concatenate(c) for c in zip(*out)))
-
-    dealt = rows.select("key", "pair", "th", "n", "pos", "root").repartition("key", "pair").sortWithinPartitions("key", "pair", "th")
-    return dealt.mapInArrow(found, "a bigint, b bigint").distinct()
+    def passed(batches):
+        now, held = None, []
+        for batch in batches:
+            numbers = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(6)], axis=1)
+            for row, data in zip(numbers, batch.column(6).to_pylist()):
+                if (row[0], row[1]) != now:
+                    if held:
+                        yield _pairs(*similar_sketches(held))
+                    now, held = (row[0], row[1]), []
+                held.append((row[2:], data))
+        if held:
+            yield _pairs(*similar_sketches(held))
+
+    dealt = small.withColumn("pair", F.lit(0)).select("key", "pair", "th", "n", "pos", "root").repartition("key").sortWithinPartitions("key", "th")
+    sent = large.repartition("key", "pair").sortWithinPartitions("key", "pair", "th")
+    return dealt.mapInArrow(few, "a bigint, b bigint").distinct(), sent.mapInArrow(passed, "a bigint, b bigint").distinct()
+
+
+def similar_sketches(group: list[tuple[np.ndarray, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b) of a group's rows (th, n, pos, root) of different roots that places and sketches allow.
+
+    Sizes of similar sets differ by a quarter at most, hence their sketches by one halving.
+    """
+    th, n, pos, root = np.array([g[0] for g in group]).T
+    words = [np.frombuffer(g[1], np.uint64, offset=8) for g in group]
+    bits = np.array([len(w) for w in words])
+    out = [np.empty((0, 2), np.int64)]
+    for size in np.unique(bits):
+        own, next_up = np.flatnonzero(bits == size), np.flatnonzero(bits == 2 * size)
+        rows = np.concatenate([own, next_up])
+        table = np.array([words[i] for i in own] + [words[i][:size] ^ words[i][size:] for i in next_up])
+        for k in range(len(own)):
+            y = np.arange(k + 1, len(rows))
+            y = y[(root[rows[y]] != root[own[k]]) & possible(n, pos, np.full(len(y), own[k]), rows[y])]
+            if len(y):
+                apart = np.bitwise_count(table[y] ^ table[k]).sum(axis=1, dtype=np.int64)
+                y = rows[y[apart * (DEN + NUM) <= (n[own[k]] + n[rows[y]]) * (DEN - NUM)]]
+                out.append(np.stack([np.full(len(y), th[own[k]]), th[y]], axis=1))
+    return tuple(np.concatenate(out).T)
 
 
 def checked(pairs: DataFrame, payload: DataFrame, test, tree: bool) -> DataFrame:
@@ -322,9 +363,9 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, width: int = 5)
     links = materialize(verified(words, width, proposed(rows)))
     near = components(links).toDF("th", "up")
     rest = materialize(rows.join(near, "th", "left").select("key", "th", "n", "pos", F.coalesce("up", "th").alias("root")))
-    pairs = materialize(left_over(rest))
     sketches = read.select("th", F.col("sketch").alias("data"))
-    more = verified(words, width, checked(pairs, sketches, may_be_similar, False))
+    few, passed = left_over(rest, sketches)
+    more = verified(words, width, checked(materialize(few), sketches, may_be_similar, False).unionByName(passed).distinct())
     reached = components(links.unionByName(more)).toDF("th", "up")
     classes = counts.join(reached, "th", "left").select("th", "m", F.coalesce("up", "th").alias("root"))
     root = join_hot(texts.select("id", "th"), classes, ["th"], "m").select("id", "root")

@@ -442,4 +442,13 @@ def query(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
 
 
-SQL = None
+SQL = """
+WITH x AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM x WHERE n >= 100)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS nth FROM w) WHERE nth > 1),
+i AS (SELECT doc_id, p, sum(start) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (SELECT *, (p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -1000) + 100)::INTEGER AS start FROM r)),
+s AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM i GROUP BY doc_id, run),
+g AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+c AS (SELECT g.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept FROM g JOIN x USING (doc_id) GROUP BY g.doc_id)
+SELECT x.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM x LEFT JOIN c USING (doc_id)
+"""

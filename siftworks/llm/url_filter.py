@@ -7,8 +7,8 @@ level 1 lets through though they aren't listed; level 3 the listed keys that lev
 level lets nothing wrong through. A key of the universe is listed if the first level that refuses it is an even one,
 exactly. One cascade holds the blocking rules, one the allowing; a url takes the verdict of its longest listed key, and
 `otherwise` if it has none. Judging needs no join: the levels are arrays of 64-bit words inside the plan, about 1.5 bits
-a listed key for each halving of the universe, and their size is checked before they are put there; beyond the bound
-the same keys are judged by a join with the rules.
+a listed key for each halving of the universe. Rules are given as a list on the driver, and a level's words are far
+smaller than the list that they stand for, so whatever list the driver can hold the plan can hold.
 
 Null urls, and urls without ://, have an empty host and path and get `otherwise`. Only A-Z of the host are lower-cased.
 Repeated rows and a null page_id are passed on. Empty table: no rows.
@@ -26,8 +26,6 @@ from .common import ASCII_LOWER, ASCII_UPPER, documents, materialize
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 WORD = 64
-#: The most words of all levels that are written into a plan (1 MB); a longer list is joined instead.
-MOST_WORDS = 1 << 17
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -74,7 +72,8 @@ class Level:
     words: list[int]
 
     def holds(self, key: Column, number: int) -> Column:
-        words = F.array(*[F.lit(w) for w in self.words]) if len(self.words) < 64 else F.lit(self.words).cast("array<bigint>")
+        # one literal text, which Catalyst folds into an array once, in place of a literal for each word
+        words = F.from_json(F.lit(str(self.words)), "array<bigint>")
         return F.expr("true") if not self.bits else _all([F.getbit(F.element_at(words, (at / WORD).cast("int") + 1), F.pmod(at, F.lit(WORD)).cast("int")) == 1 for at in _positions(key, number, self.bits, self.hashes)])
 
 
@@ -101,10 +100,6 @@ def _level(keys: DataFrame, number: int, count: int, rate: float) -> Level:
 class Cascade:
     levels: list[Level]
 
-    @property
-    def words(self) -> int:
-        return sum(len(x.words) for x in self.levels)
-
     def member(self, key: Column) -> Column:
         """Exact for keys of the universe it was built over."""
         out = F.lit(len(self.levels) % 2 == 1)
@@ -143,8 +138,6 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     n = universe.count()
     lists = {v: spark.createDataFrame([(r,) for r in ruled.listed(v)], "key string") for v in ("block", "allow")}
     cascades = {v: build_cascade(universe, k, n) for v, k in lists.items()}
-    if sum(c.words for c in cascades.values()) > MOST_WORDS:
-        return _joined(split, keys, ruled, id_col, otherwise)
     judged = split
     for v in ("block", "allow"):
         judged = judged.withColumn(v, F.filter(keys, cascades[v].member))
@@ -154,14 +147,6 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     return judged.select(F.col("id").alias(id_col), "host", "path", F.col("best.k").alias("rule"), F.coalesce("best.v", F.lit(otherwise)).alias("verdict"))
 
 
-def _joined(split: DataFrame, keys: Column, ruled: Rules, id_col: str, otherwise: str) -> DataFrame:
-    """For lists too long to stand in a plan: the narrowest rule of every (host, path), by a join on keys."""
-    table = split.sparkSession.createDataFrame([(r, v) for v, r in ruled.pairs], "key string, verdict string").distinct()
-    cases = split.select("host", "path").distinct()
-    best = cases.select("host", "path", F.explode(keys).alias("key")).join(table, "key").groupBy("host", "path").agg(F.max(F.struct(F.length("key").alias("n"), "key", "verdict")).alias("best"))
-    return split.join(best, ["host", "path"], "left").select(F.col("id").alias(id_col), "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.verdict", F.lit(otherwise)).alias("verdict"))
-
-
 def query(spark, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 

@@ -59,7 +59,7 @@ def got(df):
     return sorted((str(r["doc_id"]), str(r["component_id"])) for r in simhash.near_duplicates(df, width=5, similarity=0.8).collect())
 
 
-@pytest.mark.parametrize("settings", [{}, {"BLOCK": 4, "FEW": 0, "SAMPLE": 20}, {"PART": 3}, {"RADIUS": 1}])
+@pytest.mark.parametrize("settings", [{}, {"BLOCK": 4, "FEW": 0, "SAMPLE": 20}, {"PART": 3, "SMALL": 2}, {"RADIUS": 1, "SMALL": 3}, {"RADIUS": 1, "SMALL": 100}])
 def test_near_sets(spark, monkeypatch, settings):
     """Also with small blocks, with joins in place of broadcasts, with buckets in many parts and with fingerprints that propose next to nothing."""
     for k, v in settings.items():
