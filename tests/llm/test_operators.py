@@ -362,13 +362,67 @@ def test_search(spark, hard, empty):
     assert search.search(empty, empty).count() == 0 and search.search(hard, empty).count() == 0
 
 
-def test_search_over_many_small_shards_is_exact(spark, monkeypatch):
+def brute_search(rows, queries, k):
+    """BM25 of every row for every query."""
+    from collections import Counter
+    from math import log
+
+    docs = [(i, Counter(search.words(t))) for i, t in rows if i is not None]
+    n, mean = len(docs), sum(sum(c.values()) for _, c in docs) / len(docs)
+    df = Counter(w for _, c in docs for w in c)
+    out = []
+    for q, t in queries:
+        asked, scored = Counter(search.words(t)), []
+        for i, c in docs:
+            l = sum(c.values())
+            s = sum(m * log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * l / mean)) for w, m in asked.items() if c[w])
+            if s:
+                scored.append((-round(s, 6), i))
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)
+
+
+def test_search_matches_brute_force(spark, monkeypatch):
+    """Several shards of several blocks, repeated rows, ties, null ids and texts."""
     rng = random.Random(9)
-    rows = [(i, words(rng, rng.randrange(1, 60))) for i in range(400)]
+    rows = [(i, " ".join(rng.choice("abcdefghij") * rng.choice([1, 1, 2, 3]) for _ in range(rng.randrange(1, 60)))) for i in range(300)]
+    rows += [rows[0], rows[1], (301, rows[2][1]), (None, rows[3][1]), (302, None), (303, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    want = sorted(map(tuple, search.search(df, df.where("doc_id % 20 = 0"), k=5).collect()))
-    monkeypatch.setattr(search, "BLOCK", 8)
-    assert sorted(map(tuple, search.search(df.repartition(7), df.where("doc_id % 20 = 0"), k=5).collect())) == want
+    queries = df.where("doc_id % 20 = 0")
+    asked = {(r["doc_id"], r["text"]) for r in queries.collect()}
+    want = brute_search(rows, asked, 5)
+    for settings in ({}, {"BLOCK": 8, "SHARD_DOCS": 40}):
+        for name, v in settings.items():
+            monkeypatch.setattr(search, name, v)
+        got = sorted(map(tuple, search.search(df, queries, k=5).collect()))
+        assert [g[:3] for g in got] == [w[:3] for w in want] and all(abs(g[3] - w[3]) < 2e-6 for g, w in zip(got, want))
+
+
+def test_search_passes_over_most_postings(monkeypatch):
+    """A query of rare and common words: blocks without the rare ones are skipped, and common lists before the pivot are read for few documents."""
+    monkeypatch.setattr(search, "BLOCK", 16)
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["the", "of", "and", "tide", "moon", f"w{rng.randrange(3000)}"]) for _ in range(50)) for _ in range(2000)]
+    vocab, post = {}, {}
+    for i, t in enumerate(texts):
+        for w in search.words(t):
+            post.setdefault(vocab.setdefault(w, len(vocab)), {}).setdefault(i, 0)
+            post[vocab[w]][i] += 1
+    df = np.array([len(post[t]) for t in range(len(vocab))], np.int32)
+    doc, tf = np.array([d for t in range(len(vocab)) for d in sorted(post[t])], np.uint16), np.array([post[t][d] for t in range(len(vocab)) for d in sorted(post[t])], np.uint32)
+    data = search.pack(np.arange(2000), np.full(2000, 50), np.frombuffer("\n".join(vocab).encode(), np.uint8), df, doc, tf)
+    s = search.Shard(data, 50.0)
+    rare = [w for w in vocab if df[vocab[w]] == 12][:3]
+    terms = np.array([vocab[w] for w in ("the", "of", "and", "tide", *rare)])
+    weights = np.log(1 + (2000 - df[terms] + 0.5) / (df[terms] + 0.5))
+    found, scores = s.top(terms, weights, 5, 0.0)
+    full = np.zeros(2000)
+    for t, w in zip(terms, weights):
+        for d, n in post[t].items():
+            full[d] += w * n * 2.2 / (n + 1.2)
+    best = np.sort(np.round(full, 6))[::-1][:5]
+    assert np.allclose(np.sort(scores)[::-1][:5], best, atol=2e-6)
+    assert s.asked == df[terms].sum() and s.scored < 0.1 * s.asked, (s.scored, s.asked)
 
 
 # -------------------------------------------------------------- 7
