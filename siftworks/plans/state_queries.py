@@ -417,3 +417,70 @@ def fn_unescape(spark, d):
     """Named, decimal and hexadecimal references, one that is none, and one that stands for an ampersand before a name."""
     escaped = F.concat("p_name", F.lit(" &lt;"), "p_brand", F.lit("&gt; &eacute;&#8364;&#x1F600; &bogus; & &amp;amp; &quot;"), "p_type", F.lit("&quot;"))
     return table(spark, d, "part").select("p_partkey", ft.unescape(escaped).alias("plain"))
+
+
+# ---------------------------------------------------------------- sinks, read back
+
+
+def _folder(spark) -> str:
+    from uuid import uuid4
+
+    from .crawl import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/sinks-{uuid4().hex}"
+
+
+_INDEX = _TABLE_ORACLES["cl_index"]
+
+
+@query("snk_index", _INDEX.split("SELECT doc_id, length(text) AS chars_before")[0] + r"""
+ SELECT sha256(doc_id::VARCHAR) AS sha256, length(text)::BIGINT AS chars_before, length(clean_text)::BIGINT AS chars, n::BIGINT AS words, n >= 50 AND n * 1000 / greatest(c, 1) >= 30 AS legible, sha256(clean_text) AS text_sha256 FROM w""")
+def snk_index(spark, d):
+    """Cleaned texts and the lines of their index, written and read back."""
+    from ..sources import sinks
+
+    docs = table(spark, d, "documents").select(F.sha2(F.col("doc_id").cast("string"), 256).alias("sha256"), "source", F.col("doc_id").cast("string").alias("source_id"), F.lit("t").alias("title"), "text")
+    folder = _folder(spark)
+    sinks.write_texts(clean.text_index(docs), folder)
+    index = sinks.read_json(spark, f"{folder}/index", sinks.INDEX)
+    texts = sinks.read_contents(spark, f"{folder}/texts").select("sha256", F.sha2("clean_text", 256).alias("text_sha256"))
+    return index.join(texts, "sha256").select("sha256", "chars_before", "chars", "words", "legible", "text_sha256")
+
+
+@query("snk_bands", _TABLE_ORACLES["bd_bands"].split(" SELECT doc_id, words")[0] + " SELECT band, source, count(*) AS n FROM z GROUP BY band, source")
+def snk_bands(spark, d):
+    from ..sources import sinks
+    from .queries import _banded
+
+    banded = _banded(spark, d).withColumns({"sha256": F.sha2(F.col("doc_id").cast("string"), 256), "origin": F.lit("delivered")})
+    return sinks.write_bands(banded, _folder(spark))
+
+
+@query("snk_contents", f"WITH {_DOCS} SELECT DISTINCT sha256(customer::VARCHAR) AS sha256, substr(sha256(customer::VARCHAR), 1, 2) AS prefix FROM o")
+def snk_contents(spark, d):
+    """Customers as contents, put in two runs of which the second brings most of the first again."""
+    from ..sources import sinks
+
+    docs, folder = _docs(spark, d).select(F.sha2(F.col("customer").cast("string"), 256).alias("sha256"), "customer"), _folder(spark)
+    sinks.put_contents(docs.where("customer % 3 > 0"), folder)
+    sinks.put_contents(docs, folder)
+    return spark.read.parquet(folder).select("sha256", F.lpad(F.col("prefix").cast("string"), 2, "0").alias("prefix"))
+
+
+@query("snk_rejects", f"WITH {_DOCS} SELECT key, CASE WHEN customer % 2 = 0 THEN 'even' ELSE 'unknown' END AS reason FROM o WHERE status = 'failed'")
+def snk_rejects(spark, d):
+    from ..sources import sinks
+
+    folder = _folder(spark)
+    sinks.append_rejects(_docs(spark, d).where("status = 'failed'").select("key", F.when(F.col("customer") % 2 == 0, "even").alias("reason")), folder)
+    return sinks.read_json(spark, folder, "key string, reason string")
+
+
+@query("snk_metrics", f"""
+WITH {_DOCS} SELECT (SELECT count(*) FROM o) AS documents, (SELECT count(DISTINCT customer) FROM o) AS unique_contents, (SELECT count(*) FROM o WHERE status = 'stored') AS stored, (SELECT count(*) FROM o WHERE source = 's1') AS s1""")
+def snk_metrics(spark, d):
+    """Numbers out of the report that is one JSON document."""
+    docs = _docs(spark, d).withColumns({"tier": F.lit("weak"), "size_bytes": F.lit(1).cast("bigint"), "sha256": F.sha2(F.col("customer").cast("string"), 256)})
+    r = report.totals_json(docs, docs).select(F.from_json("report", "documents bigint, unique_contents bigint, by_status map<string,bigint>, by_source map<string,bigint>").alias("r"))
+    return r.select("r.documents", "r.unique_contents", F.col("r.by_status")["stored"].alias("stored"), F.col("r.by_source")["s1"].alias("s1"))

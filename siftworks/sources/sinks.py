@@ -23,7 +23,10 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def put_contents(df: DataFrame, path: str, sha: str = "sha256") -> None:
-    """Contents under path by the first two digits of their hash, each once; what is there already is left out."""
+    """Contents under path by the first two digits of their hash, each once; what is there already is left out.
+
+    Two runs at once may both write a content that neither found; `read_contents` gives it once.
+    """
     spark = df.sparkSession
     once = df.dropDuplicates([sha]).withColumn("prefix", F.substring(sha, 1, 2))
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -32,6 +35,26 @@ def put_contents(df: DataFrame, path: str, sha: str = "sha256") -> None:
     once.write.mode("append").partitionBy("prefix").parquet(path)
 
 
+def read_contents(spark: SparkSession, path: str, sha: str = "sha256") -> DataFrame:
+    return spark.read.parquet(path).drop("prefix").dropDuplicates([sha])
+
+
+def _columns(schema: str) -> list[str]:
+    return [c.strip().split(" ")[0] for c in schema.split(", ")]
+
+
+def write_texts(texts: DataFrame, root: str) -> None:
+    """Cleaned texts by their hash under root/texts, and a line for each in root/index. texts: the columns of INDEX and clean_text."""
+    put_contents(texts.select("sha256", "clean_text"), f"{root}/texts")
+    texts.select(*_columns(INDEX)).write.mode("overwrite").json(f"{root}/index")
+
+
+def write_bands(banded: DataFrame, root: str) -> DataFrame:
+    """A line for each text in root/bands, by band; gives the numbers of texts by band and source."""
+    banded.select(*_columns(BAND)).write.mode("overwrite").partitionBy("band").json(f"{root}/bands")
+    return read_json(banded.sparkSession, f"{root}/bands", BAND).groupBy("band", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
 def relative_path(path: str, root: str) -> str:
     """path below root, with forward slashes; an absolute path elsewhere is refused."""
     from pathlib import PurePosixPath
