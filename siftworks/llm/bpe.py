@@ -60,8 +60,8 @@ class WordCodec:
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
         self.beyond = re.compile(f"[^\0-{LATIN}]")
         self.symbols = byte_symbols()
-        self.of_word = Recent(self._word, 100_000)
-        self.of_piece = Recent(self._piece, 100_000)
+        self.of_word = Recent(self._word, 60_000)
+        self.of_piece = Recent(self._piece, 60_000)
 
     def _word(self, word: str) -> tuple[bytes, str]:
         return self._spelt(word if word.isascii() and word.isalnum() else "".join([self.symbols[b] for b in word.encode()]))
@@ -99,6 +99,13 @@ class WordCodec:
         return b"".join([m[0] for m in made]), " ".join([m[1] for m in made if m[1]])
 
 
+@lru_cache(maxsize=8)
+def check_proper(path: str) -> None:
+    """Refuse merge lists for which the automaton isn't what merging gives; once a path, on the driver."""
+    if bad := codec(path).automaton.improper():
+        raise ValueError(f"{len(bad)} tokens of {path} are not what their own spelling encodes to, such as {bad[:3]}")
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> WordCodec:
     return WordCodec(path)
@@ -106,6 +113,7 @@ def codec(path: str) -> WordCodec:
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, ids binary little-endian uint32, decoded string), one row per row of docs; no shuffle."""
+    check_proper(path)
 
     def coded(batches):
         c = codec(path)
@@ -119,6 +127,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_tokens, ids_sha256, decoded_sha256), hashed where the ids are made so that they need not leave the worker."""
+    check_proper(path)
 
     def coded(batches):
         c = codec(path)

@@ -8,8 +8,12 @@ applying the merges gives. Arc sets overlap almost wholly between states, so the
 whose arcs it is a copy of, since which merge, and which arcs were taken off; `arc` reads them and the answers fill the
 transition table.
 
-Encoding walks a word once: each prefix has one accepted path, hence one last token, and the arcs that leave it are
-followed along a trie of token spellings. Decoding emits the labels of the arcs.
+This holds for proper merge lists, under which the spelling of every token encodes to that token alone; `improper` names
+those that don't, and such lists are to be refused.
+
+Encoding walks a word along a trie of token spellings, taking of the arcs that leave the last token's state the longest
+first. Each prefix has one accepted path at most, so no position is entered twice, and the walk is linear in the word
+however often it turns back from arcs that the table hasn't got. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from __future__ import annotations
 END = "\n"
 _NEVER = 1 << 60
 #: Transitions that are kept at once.
-MOST_ARCS = 300_000
+MOST_ARCS = 200_000
 
 
 class Automaton:
@@ -36,6 +40,8 @@ class Automaton:
         self.live: list[bool] = []
         for k, (a, b) in enumerate(merges):
             self._gadget(k, ids[self._spelling(a)], ids[self._spelling(b)], ids[self._spelling(a) + self._spelling(b)])
+        self.base = {t: i for t, i in ids.items() if i not in self.pair}
+        self.of_pair = {p: i for i, p in self.pair.items()}
         self.trie = self._trie(ids)
 
     def _spelling(self, token: str) -> str:
@@ -112,14 +118,32 @@ class Automaton:
         return x if k < until else -1
 
     def encode(self, symbols: str) -> list[int]:
-        """Token ids of one pre-split word, spelt in base symbols.
-
-        Arcs are followed longest spelling first. Every prefix has at most one accepted path, so no position is entered
-        twice and the walk is linear in the word however often it turns back.
-        """
-        if not symbols:
-            return []
-        text = symbols + END if self.suffix else symbols
+        """Token ids of one pre-split word, spelt in base symbols."""
+        return self._walk(symbols + END if self.suffix else symbols) if symbols else []
+
+    def improper(self) -> list[str]:
+        """Tokens of merges whose own spelling merges to something else, found by merging it."""
+        return [self.labels[i] for i in self.pair if self._merged(self._spelling(self.labels[i])) != [i]]
+
+    def _merged(self, text: str) -> list[int]:
+        """What applying the merges in rank order, each from the left, gives."""
+        out = [self.base[c] for c in (text if not text.endswith(END) else [*text[:-2], text[-2:]])]
+        while len(out) > 1:
+            first = min(((self.taken.get(pair, _NEVER), pair) for pair in zip(out, out[1:])), key=lambda x: x[0])
+            if first[0] == _NEVER:
+                break
+            made, i = [], 0
+            while i < len(out):
+                if tuple(out[i:i + 2]) == first[1]:
+                    made.append(self.of_pair[first[1]])
+                    i += 2
+                else:
+                    made.append(out[i])
+                    i += 1
+            out = made
+        return out
+
+    def _walk(self, text: str) -> list[int]:
         n, trie, table = len(text), self.trie, self.table
         path: list[int] = []
         ends: list[int] = []
@@ -151,7 +175,7 @@ class Automaton:
                     break
                 choices.pop()
                 if not path:
-                    raise ValueError(f"no path spells {symbols!r}")
+                    raise ValueError(f"no path spells {text!r}")
                 path.pop()
                 ends.pop()
                 arcs = table[path[-1]] if path else None

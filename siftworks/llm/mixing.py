@@ -100,9 +100,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
         return given
 
-    given = groups.groupBy("source").applyInPandas(seated("group"), "source string, group bigint, words bigint, quota bigint").toDF("gs", "gn", "gw", "given")
+    given = materialize(groups.groupBy("source").applyInPandas(seated("group"), "source string, group bigint, words bigint, quota bigint")).toDF("gs", "gn", "gw", "given")
     sizes = sizes.join(given, F.col("source").eqNullSafe(F.col("gs")) & (F.col("group") == F.col("gn"))).withColumn("seats", F.col("given"))
     quotas = sizes.select("source", "group", "shard", "words", "seats").groupBy("source", "group").applyInPandas(seated("shard"), "source string, shard bigint, words bigint, quota bigint")
+    quotas = materialize(quotas)  # also so that no task runs two Python workers
     ring = F.ceil(F.col("words") / block)
     first = F.pmod(number(F.concat_ws("/", F.coalesce("qs", F.lit("")), F.col("qn").cast("string")), "first", seed), F.greatest(F.lit(1), F.col("ring")))
     quotas = (quotas.toDF("qs", "qn", "words", "quota").withColumn("ring", ring).withColumn("quota", F.least("quota", most * F.col("ring")))

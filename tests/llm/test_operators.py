@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftworks.llm import bpe, common, exact_dedup, mixing, search, sharding, simhash, suffix_dedup, token_files, toxicity, url_filter
+from siftworks.llm import bit_slices, bpe, common, exact_dedup, mixing, search, sharding, simhash, suffix_dedup, token_files, toxicity, url_filter
 from siftworks.llm.bpe_automaton import Automaton
 from siftworks.llm.perfect_hash import PerfectHash
 
@@ -104,6 +104,45 @@ def test_links_find_every_close_pair_in_hot_buckets(spark, block):
     assert pairs(got) == pairs(want)
 
 
+def test_partners_are_near_and_central():
+    """A centre is the partner of all that were made from it, whatever its place; rows of other buckets are never partners."""
+    rng = np.random.default_rng(7)
+    fps, bucket, centre = [], [], {}
+    for b in range(6):
+        c = int(rng.integers(0, 1 << 63))
+        own = [c]
+        for _ in range(int(rng.integers(1, 150))):
+            x = c
+            for bit in rng.choice(64, 6, replace=False):
+                x ^= 1 << int(bit)
+            own.append(x)
+        at = int(rng.integers(len(own)))
+        own[0], own[at] = own[at], own[0]
+        centre[b] = len(fps) + at
+        fps += own
+        bucket += [b] * len(own)
+    rows, partner = bit_slices.partners(np.array(fps, np.uint64), np.array(bucket), 7)
+    assert len(rows) == len(set(rows.tolist())) and set(rows.tolist()) >= set(range(len(fps))) - set(centre.values()) - {i for i in range(len(fps)) if bucket.count(bucket[i]) == 2}
+    for r, p in zip(rows.tolist(), partner.tolist()):
+        assert bucket[r] == bucket[p] and (fps[r] ^ fps[p]).bit_count() <= 7
+        assert p == centre[bucket[r]] or bucket.count(bucket[r]) == 2
+    none = np.empty(0, np.uint64)
+    assert len(bit_slices.partners(none, none.astype(np.int64), 7)[0]) == len(bit_slices.forest(none, none.astype(np.int64), 7)[0]) == 0
+
+
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_rows_without_ids_and_hot_joins(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_IDS", few)
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rows = spark.createDataFrame([(i % 7 if i % 7 else None, i) for i in range(140)] + [(i, i) for i in range(200, 210)], "k long, i long")
+    gone = spark.createDataFrame([(1,), (None,), (205,), (1,)], "x long")
+    assert {r["k"] for r in common.without(rows, rows["k"], gone).collect()} == {2, 3, 4, 5, 6, *range(200, 210)} - {205}
+    table = rows.where("k IS NOT NULL").groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.max("i").alias("top"))
+    got = sorted((r["k"], r["i"], r["top"]) for r in common.join_hot(rows, table, ["k"], "m").collect())
+    top = {r["k"]: r["top"] for r in table.collect()}
+    assert got == sorted((r["k"], r["i"], top[r["k"]]) for r in rows.collect() if r["k"] is not None)
+
+
 # -------------------------------------------------------------- 2
 
 
@@ -349,6 +388,39 @@ def test_automaton_is_deterministic_and_equals_the_merges():
             assert auto.decode(auto.encode(w)) == by_merging(w), w
 
 
+def test_improper_merges_are_named_and_proper_ones_are_exact():
+    """Random merge lists: words of proper ones encode as merging gives, others are refused."""
+    rng, proper, refused = random.Random(12), 0, 0
+    while proper < 40 or refused < 10:
+        merges, known = [], ["a", "b", "c"]
+        for _ in range(rng.randrange(2, 9)):
+            x, y = rng.choice(known), rng.choice(known)
+            if x + y not in known:
+                merges.append((x, y))
+                known.append(x + y)
+        auto = Automaton({t: i for i, t in enumerate(known)}, merges)
+
+        def by_merging(w):
+            out = list(w)
+            for x, y in merges:
+                i = 0
+                while i < len(out) - 1:
+                    if (out[i], out[i + 1]) == (x, y):
+                        out[i:i + 2] = [x + y]
+                    i += 1
+            return out
+
+        bad = auto.improper()
+        assert bad == [x + y for x, y in merges if by_merging(x + y) != [x + y]]
+        if bad:
+            refused += 1
+            continue
+        proper += 1
+        for _ in range(150):
+            w = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 12)))
+            assert auto.decode(auto.encode(w)) == by_merging(w), (merges, w)
+
+
 # -------------------------------------------------------------- 6
 
 
