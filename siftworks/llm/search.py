@@ -1,21 +1,22 @@
-"""Operator 6: exact top-k search by BM25 over an inverted index with block-max WAND pruning.
+"""Operator 6: exact top-k search by BM25 over an inverted index with block-max pruning, after block-max WAND.
 
 The index is built in shards, each a row: postings in term order. Shard statistics add up to the global ones (documents,
 mean length, document frequencies of the asked terms), with which every shard scores, so the merge of the shards' top k
-is exact. In a shard every list is cut at blocks of 128 neighbouring documents and keeps, for each block that it has
-postings in, the greatest impact there. For a query:
+is exact. In a shard frequent lists (a sixteenth of the documents or more) keep the greatest impact of every block of 128
+neighbouring documents. For a query:
 
-1. a block's bound is the sum of its lists' block maxima times the terms' weights; the blocks of the greatest bounds are
-   scored first, which gives a threshold, the k-th best score so far (it is carried from shard to shard within a task);
-2. a block whose bound is below the threshold is skipped with all its postings;
-3. in any other block lists are put in the order of their bounds there, and the pivot is the first list at which the sum
-   of bounds reaches the threshold. Documents that stand only in lists before the pivot can't reach it, so postings of
-   those lists are passed over, but for the documents that what comes from the pivot on, with all bounds before it,
-   could still lift to the threshold.
+1. the rare lists are its essential ones: their postings are scored, and a block's bound is the best such sum in it plus
+   the frequent lists' block maxima times their weights;
+2. the blocks of the greatest bounds are scored first, which gives a threshold, the k-th best score so far (it is carried
+   from shard to shard within a task);
+3. blocks whose bound is below the threshold are skipped with all their postings in frequent lists, and in the others the
+   documents that those lists' block maxima can't lift to it.
 
-All blocks of a query are pruned at once, as arrays. Words are runs of letters and digits, lower-cased. A word's weight
-in a query counts its repeats. Scores are compared at six decimals, so that the order of summing can't decide; ties go to
-the smaller id.
+Many queries are pruned at once, and a block is scored for all that want it as a matrix product. A pivot that moves with
+every posting of every list was built too, and costs seven times as much for queries as long as these (see the README).
+
+Words are runs of letters and digits, lower-cased. A word's weight in a query counts its repeats. Scores are compared at
+six decimals, so that the order of summing can't decide; ties go to the smaller id.
 
 Queries are taken in blocks of bounded size (rows and bytes), one pass over the index each; the documents of a pass are
 never moved. Null and empty texts match nothing and as queries have no result; null ids are no results and no queries.
@@ -85,8 +86,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 class Shard:
     """A shard read for scoring; without a mean length, for its document frequencies alone.
 
-    Documents are put in the order of their strongest frequent term (of a sixteenth of the documents or more) and their
-    length, so that a block holds documents of one kind and its bounds are tight.
+    Terms in at least a sixteenth of the documents have a dense row of impacts; all others keep their postings.
+    Documents are put in the order of their strongest dense term and their length, so that a block holds documents of
+    one kind and its bounds are tight.
     """
 
     def __init__(self, data: bytes, mean_length: float | None = None):
@@ -98,69 +100,65 @@ class Shard:
         if mean_length is None or not len(df):
             return
         n = len(self.ids)
-        impact = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lengths / mean_length))[doc])
-        term = np.repeat(np.arange(len(df), dtype=np.int32), self.df)
-        often = np.flatnonzero((self.df >= max(8, n // 16))[term])
-        often = often[np.argsort(impact[often], kind="stable")]
-        strongest = np.full(n, -1)
-        strongest[doc[often]] = term[often]  # the last, hence the strongest, stays
-        order = np.lexsort((lengths, strongest))
+        norm = K1 * (1 - B + B * lengths / mean_length)
+        impact = tf * (K1 + 1) / (tf + norm[doc])
+        frequent = self.df >= max(8, n // 16)
+        self.row = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        self.n_blocks = -(-n // BLOCK)
+        dense = np.zeros((int(frequent.sum()), self.n_blocks * BLOCK))
+        term = np.repeat(np.arange(len(df)), self.df)
+        on = frequent[term]
+        dense[self.row[term[on]], doc[on]] = impact[on]
+        order = np.lexsort((lengths, dense[:, :n].argmax(axis=0) if len(dense) else lengths))
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
-        self.ids, self.n_blocks = self.ids[order], -(-n // BLOCK)
-        by = np.argsort(term.astype(np.int64) * n + place[doc])
-        self.doc, self.impact = place[doc][by].astype(np.int32), impact[by]
-        block = self.doc // BLOCK
-        # an entry is what one list has in one block
-        self.first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])))
-        self.size = np.diff(np.append(self.first, len(term)))
-        self.block, self.most = block[self.first], np.maximum.reduceat(self.impact, self.first)
-        self.entries = np.searchsorted(term[self.first], np.arange(len(df) + 1))
-
-    def _add(self, entry: np.ndarray, weight: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
-        """Score of each place from the entries' postings, or those of the places in `only`."""
-        size = self.size[entry]
-        post = np.repeat(self.first[entry] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        weight = np.repeat(weight, size)
-        if only is not None:
-            there = only[self.doc[post]]
-            post, weight = post[there], weight[there]
-        self.scored += len(post)
-        return np.bincount(self.doc[post], weight * self.impact[post], self.n_blocks * BLOCK)
-
-    def top(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of all documents that may be among the query's k best and score at least `least`."""
-        count = self.entries[terms + 1] - self.entries[terms]
-        entry = np.repeat(self.entries[terms] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        weight = np.repeat(weights, count)
-        bound, block = weight * self.most[entry], self.block[entry]
-        self.asked += int(self.df[terms].sum())
-        # entries by block, in a block by their bounds: a list before the pivot has a sum of bounds below the threshold
-        order = np.lexsort((bound, block))
-        entry, weight, bound, block = entry[order], weight[order], bound[order], block[order]
-        total = np.bincount(block, bound, self.n_blocks)
-        upto = np.cumsum(bound) - (np.cumsum(total) - total)[block]
-        scores = np.zeros(self.n_blocks * BLOCK)
-        ranked, at, width = np.argsort(-total, kind="stable"), 0, max(1, -(-2 * k // BLOCK))
-        # the best blocks first, then four times as many, and so on: each wave raises the threshold for the next
-        while at < self.n_blocks and total[ranked[at]] > 0 and total[ranked[at]] >= least - SLACK:
-            wave = np.zeros(self.n_blocks, bool)
-            wave[ranked[at:at + width]] = True
-            at, width = at + width, 4 * width
-            wave &= (total > 0) & (total >= least - SLACK)
-            on = wave[block]
-            before = on & (upto < least - SLACK)
-            part = self._add(entry[on & ~before], weight[on & ~before])
-            if before.any():
-                rest = np.bincount(block[before], bound[before], self.n_blocks)
-                may = (part > 0) & (part + np.repeat(rest, BLOCK) >= least - SLACK)
-                needed = before & may.reshape(-1, BLOCK).any(axis=1)[block]
-                part = np.where(may, part + self._add(entry[needed], weight[needed], may), 0.0)
-            scores += part
-            if k < len(scores):
-                least = max(least, round(float(np.partition(scores, -k)[-k]), 6))
-        found = np.flatnonzero((scores > 0) & (scores >= least - SLACK))
-        return found, np.round(scores[found], 6)
+        self.ids = self.ids[order]
+        dense[:, :n] = dense[:, order]
+        self.dense = dense
+        self.dense_most = dense.reshape(len(dense), self.n_blocks, BLOCK).max(axis=2)
+        self.doc, self.impact = place[doc[~on]], impact[~on]
+        self.count = np.where(frequent, 0, self.df)
+        self.first = np.cumsum(self.count) - self.count
+
+    def top(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, least: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (terms, weights): places and scores of all documents that may be among its k best and score at least `least`.
+
+        Blocks are scored in waves, each block for all queries that want it at once: every query's best blocks first, then
+        eight times as many, then the rest, of which those are skipped whose bound is below the k-th score so far.
+        """
+        nq, width = len(queries), self.n_blocks * BLOCK
+        dense_weight, scores = np.zeros((nq, len(self.dense))), np.zeros((nq, width))
+        for q, (terms, weights) in enumerate(queries):
+            row = self.row[terms]
+            dense_weight[q, row[row >= 0]] = weights[row >= 0]
+            t, w = terms[row < 0], weights[row < 0]
+            size = self.count[t]
+            post = np.repeat(self.first[t] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            scores[q] = np.bincount(self.doc[post], np.repeat(w, size) * self.impact[post], width)
+            self.scored += len(post)
+            self.asked += int(self.df[terms].sum())
+        lift = dense_weight @ self.dense_most + SLACK
+        bound = lift + scores.reshape(nq, self.n_blocks, BLOCK).max(axis=2)
+        some, lists = bound > 2 * SLACK, (dense_weight > 0).sum(axis=1)
+        rank = np.argsort(np.argsort(-bound, axis=1, kind="stable"), axis=1)
+        first, known = max(1, -(-2 * k // BLOCK)), np.zeros((nq, width))
+        for low, high in ((0, first), (first, 9 * first), (9 * first, self.n_blocks)):
+            wave = some & (rank >= low) & (rank < high) & (bound >= least[:, None])
+            for b in np.flatnonzero(wave.any(axis=0)):
+                q, at = np.flatnonzero(wave[:, b]), b * BLOCK
+                part = scores[q, at:at + BLOCK]
+                may = part + lift[q, b][:, None] >= least[q][:, None]
+                docs = np.flatnonzero(may.any(axis=0))
+                made = part[:, docs] + dense_weight[q] @ self.dense[:, at + docs]
+                known[np.ix_(q, at + docs)] = np.where(may[:, docs], made, 0.0)
+                self.scored += int(lists[q] @ may.sum(axis=1))
+            if k < width and high < self.n_blocks:
+                least = np.maximum(least, np.round(np.partition(known, -k, axis=1)[:, -k], 6))
+        out = []
+        for q in range(nq):
+            found = np.flatnonzero((known[q] > 0) & (known[q] >= least[q] - SLACK))
+            out.append((found, np.round(known[q, found], 6)))
+        return out
 
 
 class Best:
@@ -219,11 +217,16 @@ def _search_block(index: DataFrame, block: list[tuple[int, Counter]], n_docs: in
                 here = np.full(len(names), -1, np.int64)
                 both = list(s.terms.keys() & names.keys())
                 here[[names[w] for w in both]] = [s.terms[w] for w in both]
-                for q, (_, terms, weights) in zip(best, queries):
+                asked = []
+                for j, (_, terms, weights) in enumerate(queries):
                     own = here[terms]
                     if (there := own >= 0).any():
-                        doc, score = s.top(own[there], weights[there], k, q.least)
-                        q.add(s.ids[doc], score)
+                        asked.append((j, own[there], weights[there]))
+                for at in range(0, len(asked), 256):
+                    part = asked[at:at + 256]
+                    made = s.top([(t, w) for _, t, w in part], k, np.array([best[j].least for j, _, _ in part]))
+                    for (j, _, _), (doc, score) in zip(part, made):
+                        best[j].add(s.ids[doc], score)
         for at in range(0, len(queries), 1024):
             part = list(zip(queries[at:at + 1024], best[at:at + 1024]))
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat([q[0] for q, _ in part], [len(t.ids) for _, t in part]), pa.int64()),

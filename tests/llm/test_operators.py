@@ -487,7 +487,7 @@ def test_search_passes_over_most_postings(monkeypatch):
     rare = [w for w in vocab if df[vocab[w]] == 12][:3]
     terms = np.array([vocab[w] for w in ("the", "of", "and", "tide", *rare)])
     weights = np.log(1 + (2000 - df[terms] + 0.5) / (df[terms] + 0.5))
-    found, scores = s.top(terms, weights, 5, 0.0)
+    (found, scores), = s.top([(terms, weights)], 5, np.zeros(1))
     full = np.zeros(2000)
     for t, w in zip(terms, weights):
         for d, n in post[t].items():
