@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from functools import lru_cache
@@ -62,12 +63,17 @@ def normalize_text(text: Column, keep: str = "") -> Column:
     one, to, none, several = _folds()
     single = F.translate(text, one + none, to)
     class_ = "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _ranges(several)) + "]"
-    table = F.create_map(*[F.lit(x) for k, v in several.items() for x in (k, v)])
+    table = lookup(several)
     many = F.array_join(F.transform(F.split(single, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
     flat = F.when(text.rlike("^[\\x00-\\x7f]*$"), text).otherwise(F.when(text.rlike(class_), many).otherwise(single))
     return F.trim(F.regexp_replace(F.lower(flat), f"[^a-z0-9{keep}]+", " "))
 
 
+def lookup(table: dict[str, str]) -> Column:
+    """A map column of constants: one literal, which is parsed when the plan is made, in place of one for each key and value."""
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
 def let(value: Column, use) -> Column:
     """use(value), with value computed once a row: inside a lambda a derived column would be computed anew for every element."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -145,7 +151,7 @@ def unescape(text: Column) -> Column:
 
     Text without an ampersand, the bulk, is passed on. Else it is cut at its ampersands, and each part is looked up alone.
     """
-    table, old = (F.create_map(*[F.lit(x) for kv in t.items() for x in kv]) for t in _references())
+    table, old = map(lookup, _references())
     old_names = "|".join(sorted(_references()[1], key=len, reverse=True))
 
     def one(part: Column) -> Column:

@@ -69,7 +69,7 @@ def with_band(docs: DataFrame, lex: Lexicon, rules: BandRules, title: str = "tit
     x, t = F.col(f"{texts}.body"), F.col(f"{texts}.title")
     found = unused(df, "found")
     df = df.withColumn(found, F.explode_outer(F.array(F.struct(
-        F.size(F.filter(F.split(F.trim(x), " "), lambda w: w != "")).alias("words"), term_counts(x, lex.strong).alias("cs"), term_counts(x, lex.moderate).alias("cm"),
+        F.when(F.trim(x) == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) - 1).alias("words"), term_counts(x, lex.strong).alias("cs"), term_counts(x, lex.moderate).alias("cm"),
         term_counts(x, d_strong).alias("ds"), term_counts(x, d_moderate).alias("dm"), canonical_sections(F.col(f"{texts}.heads"), lex.structural).alias("sections")))))
     cs, cm, ds, dm = (F.col(f"{found}.{c}") for c in ("cs", "cm", "ds", "dm"))
     in_title = reduce(lambda a, b: a | b, [has_phrase(t, s) for s in lex.strong], F.lit(False))
