@@ -173,10 +173,16 @@ class ShardStore:
 
     def _merged(self, runs: list[list[Shard]], schema: StructType) -> list[Shard]:
         """One new shard for each run."""
-        out = []
-        for at in range(0, len(runs), RUNS_A_JOB):
-            parts = [self.spark.read.schema(schema).parquet(*[f"{self.root}/{s.path}" for s in run]).coalesce(1) for run in runs[at:at + RUNS_A_JOB]]
-            out += self._write(reduce(DataFrame.union, parts))
+        # a union of one-partition tables would be one partition by default, that is, one file for all runs of a job
+        name, out = "spark.sql.unionOutputPartitioning", []
+        before = self.spark.conf.get(name, "true")
+        self.spark.conf.set(name, "false")
+        try:
+            for at in range(0, len(runs), RUNS_A_JOB):
+                parts = [self.spark.read.schema(schema).parquet(*[f"{self.root}/{s.path}" for s in run]).coalesce(1) for run in runs[at:at + RUNS_A_JOB]]
+                out += self._write(reduce(DataFrame.union, parts))
+        finally:
+            self.spark.conf.set(name, before)
         return out
 
     def compact(self, tries: int = 20) -> Manifest:
