@@ -22,7 +22,7 @@ from __future__ import annotations
 END = "\n"
 _NEVER = 1 << 60
 #: Transitions that are kept at once.
-MOST_ARCS = 200_000
+MOST_ARCS = 300_000
 
 
 class Automaton:
