@@ -470,6 +470,29 @@ def test_search_matches_brute_force(spark, monkeypatch):
         assert [g[:3] for g in got] == [w[:3] for w in want] and all(abs(g[3] - w[3]) < 2e-6 for g, w in zip(got, want))
 
 
+def test_search_sends_little_from_later_shards(spark, monkeypatch):
+    """Thresholds from the first shards hold in all others, which send what may be among the k best of all and not k each."""
+    rng = random.Random(17)
+    rows = [(i, " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(1, rng.choice([3, 40]))}" for _ in range(rng.randrange(5, 60)))) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    for name, v in {"BLOCK": 8, "SEEDS": 8, "PART": 7, "FRESH_WORDS": 100}.items():
+        monkeypatch.setattr(search, name, v, raising=False)
+    sent, materialize = [], search.materialize
+
+    def counted(rows):
+        out = materialize(rows)
+        if "query_id" in out.columns:
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(search, "materialize", counted)
+    queries = df.where("doc_id % 40 = 0")
+    got = sorted(map(tuple, search.search(df, queries, k=5).collect()))
+    want = brute_search(rows, [r for r in rows if r[0] % 40 == 0], 5)
+    assert [g[:3] for g in got] == [w[:3] for w in want] and all(abs(g[3] - w[3]) < 2e-6 for g, w in zip(got, want))
+    assert sum(sent) < 0.5 * 40 * 20 * 5, sent
+
+
 def test_search_passes_over_most_postings(monkeypatch):
     """A query of rare and common words: blocks without the rare ones are skipped, and common lists before the pivot are read for few documents."""
     monkeypatch.setattr(search, "BLOCK", 16)
