@@ -127,7 +127,8 @@ def section_titles(text: Column) -> Column:
     heads = F.filter(lines(text), lambda x: x.startswith("#") | (F.length(x) < 80))
     bare = F.transform(heads, lambda x: F.regexp_replace(F.regexp_replace(x, "^#+", ""), r"^[\s\d.]+", ""))
     # all headings as one text: inside a lambda the normalisation would be written, and run, once for each of its branches
-    return F.filter(F.transform(F.split(normalize_text(F.array_join(bare, "\n"), "\\n"), "\n"), F.trim), lambda x: x != "")
+    # (F.trim by itself would take the element's position for the characters to trim)
+    return F.filter(F.transform(F.split(normalize_text(F.array_join(bare, "\n"), "\\n"), "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def strip_markup(html: Column) -> Column:

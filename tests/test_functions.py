@@ -35,6 +35,11 @@ def test_lines_split_like_python(spark):
     assert values(spark, text.lines(F.col("x")), data) == [x.splitlines() for x in data]
 
 
+def test_section_titles_have_no_space_around_and_keep_their_digits(spark):
+    data = ["# 1. Scope.\n(Phase 1)\n\n## 3 Apollo 2!\n" + "x" * 80, "- 0", None]
+    assert values(spark, text.section_titles(F.col("x")), data) == [["scope", "phase 1", "apollo 2"], ["0"], []]
+
+
 @pytest.mark.parametrize("url, want", [
     ("HTTP://Host.Org:80/A/b/?t=1#x", "http://host.org/A/b?t=1"), ("https://h:443/", "https://h/"), ("https://h", "https://h/"), (" https://h/a// ", "https://h/a"), ("//h/x", "https://h/x")])
 def test_canonical_url(spark, url, want):

@@ -1,3 +1,5 @@
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from siftworks.plans.registry import ORACLES, QUERIES
@@ -15,3 +17,18 @@ def test_query_matches_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_has_rows(spark, name):
     assert QUERIES[name](spark, DATA).count() > 0
+
+
+def documents(folder, texts):
+    """A folder with a table of documents."""
+    pq.write_table(pa.table({"doc_id": list(range(len(texts))), "source": [f"s{i % 2}" for i in range(len(texts))], "lang": ["en"] * len(texts), "text": texts}), f"{folder}/documents.parquet")
+    return str(folder)
+
+
+#: A heading as long as a section's may be, with a mark at its end, before another; with it the note is above 10, without it below 7.
+HEADED = ["Was | theainha | erthin | inshing, | Edwh.\n" + "x" * 80 + " of the it and" + " y" * 5988 + "\nEnd", "# 1. And the\n", ""]
+
+
+@pytest.mark.parametrize("name", ["bd_sections"])
+def test_headings_with_marks_at_their_ends(spark, tmp_path, name):
+    assert_same(spark, QUERIES[name], ORACLES[name], documents(tmp_path, HEADED))
