@@ -29,6 +29,6 @@ def documents(folder, texts):
 HEADED = ["Was | theainha | erthin | inshing, | Edwh.\n" + "x" * 80 + " of the it and" + " y" * 5988 + "\nEnd", "# 1. And the\n", ""]
 
 
-@pytest.mark.parametrize("name", ["bd_sections", "bd_bands"])
+@pytest.mark.parametrize("name", ["bd_sections", "bd_bands", "snk_bands"])
 def test_headings_with_marks_at_their_ends(spark, tmp_path, name):
     assert_same(spark, QUERIES[name], ORACLES[name], documents(tmp_path, HEADED))
