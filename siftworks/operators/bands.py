@@ -90,9 +90,12 @@ def band_order(banded: DataFrame, band: str, key: str = "sha256") -> DataFrame:
 
 
 def band_matrix(banded: DataFrame, sources: list[str] | None = None) -> DataFrame:
-    """Bands by source, zero-filled, all bands, in their order; sources may be given to spare a pass."""
+    """Bands by source, zero-filled, all bands, in their order; sources may be given to spare a pass. The total is that of all sources."""
     spark = banded.sparkSession
     frame = spark.createDataFrame([(i, b) for i, b in enumerate(BANDS)], "position int, band string")
-    counts = banded.groupBy("band").pivot("source", sources).count()
-    wide = frame.join(counts, "band", "left").na.fill(0)
-    return wide.withColumn("total", reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in counts.columns[1:]], F.lit(0)))
+    if sources is None:
+        counts = banded.groupBy("band").pivot("source").count()
+        counts = counts.withColumn("total", reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in counts.columns[1:]], F.lit(0)))
+    else:
+        counts = banded.groupBy("band").agg(*[F.count_if(F.col("source") == s).alias(s) for s in sources], F.count(F.lit(1)).alias("total"))
+    return frame.join(counts, "band", "left").na.fill(0)

@@ -29,6 +29,13 @@ def documents(folder, texts):
 HEADED = ["Was | theainha | erthin | inshing, | Edwh.\n" + "x" * 80 + " of the it and" + " y" * 5988 + "\nEnd", "# 1. And the\n", ""]
 
 
-@pytest.mark.parametrize("name", ["bd_sections", "bd_bands", "snk_bands"])
+@pytest.mark.parametrize("name", ["bd_sections", "bd_bands", "ag_band_matrix", "snk_bands"])
 def test_headings_with_marks_at_their_ends(spark, tmp_path, name):
     assert_same(spark, QUERIES[name], ORACLES[name], documents(tmp_path, HEADED))
+
+
+def test_the_band_matrix_counts_languages_that_have_no_column(spark, tmp_path):
+    folder = documents(tmp_path, HEADED)
+    table = pq.read_table(f"{folder}/documents.parquet")
+    pq.write_table(table.set_column(2, "lang", pa.array(["en", "pt", None])), f"{folder}/documents.parquet")
+    assert_same(spark, QUERIES["ag_band_matrix"], ORACLES["ag_band_matrix"], folder)
