@@ -136,6 +136,11 @@ def strip_markup(html: Column) -> Column:
     return unescape(F.regexp_replace(html, "<[^>]+>", "\n"))
 
 
+def only_references(text: Column, *names: str) -> Column:
+    """Ampersands that begin none of the named references (`lt;`, or `amp` for one with or without its semicolon) escaped, so that no others are resolved after."""
+    return F.regexp_replace(text, f"&(?!{'|'.join(names)})", "&amp;")
+
+
 _COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
 
 

@@ -39,3 +39,12 @@ def test_the_band_matrix_counts_languages_that_have_no_column(spark, tmp_path):
     table = pq.read_table(f"{folder}/documents.parquet")
     pq.write_table(table.set_column(2, "lang", pa.array(["en", "pt", None])), f"{folder}/documents.parquet")
     assert_same(spark, QUERIES["ag_band_matrix"], ORACLES["ag_band_matrix"], folder)
+
+
+@pytest.mark.parametrize("name", ["html_metadata"])
+def test_references_that_the_sql_does_not_resolve(spark, tmp_path, name):
+    """Cut at a title's end, without a semicolon, escaped themselves, unknown; a page without a title, an empty one, no page."""
+    titles = ["a&amp;&amp", "b = &quot;x&quot", "&amp;lt; &lt;i&gt; & &ltx &copy &amp;amp; &amp;&amp;quot;", "&eacute;&#65;&bogus; &ampx"]
+    html = [f"<html><head><title>{t}</title></head><body><p>one &amp; two</p></body></html>" for t in titles] + ["<html><p>x</p></html>", "<title></title>", "", None]
+    pq.write_table(pa.table({"page_id": list(range(len(html))), "url": ["https://h/x"] * len(html), "html": html}), tmp_path / "pages.parquet")
+    assert_same(spark, QUERIES[name], ORACLES[name], str(tmp_path))
