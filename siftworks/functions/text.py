@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+import zlib
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -141,15 +142,19 @@ def only_references(text: Column, *names: str) -> Column:
     return F.regexp_replace(text, f"&(?!{'|'.join(names)})", "&amp;")
 
 
-_COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
+#: Names of references are dealt to so many small maps by their CRC-32: looking one up in a map is a walk along its keys.
+_BUCKETS = 4096
 
 
 @lru_cache(maxsize=1)
-def _references() -> tuple[dict[str, str], dict[str, str]]:
-    """References by name: those that end in a semicolon, and the old ones that need none."""
+def _references() -> tuple[str, str]:
+    """References by name as a JSON array of maps, one a bucket; and a pattern of the old names, which need no semicolon, longest first."""
     from html.entities import html5
 
-    return {k[:-1]: v for k, v in html5.items() if k.endswith(";")}, {k: v for k, v in html5.items() if not k.endswith(";")}
+    buckets: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
+    for k, v in html5.items():
+        buckets[zlib.crc32(k.encode()) % _BUCKETS][k] = v
+    return json.dumps(buckets), "|".join(sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True))
 
 
 def unescape(text: Column) -> Column:
@@ -157,34 +162,33 @@ def unescape(text: Column) -> Column:
 
     Text without an ampersand, the bulk, is passed on. Else it is cut at its ampersands, and each part is looked up alone.
     """
-    table, old = map(lookup, _references())
-    old_names = "|".join(sorted(_references()[1], key=len, reverse=True))
+    buckets, old = _references()
+    table = F.from_json(F.lit(buckets), "array<map<string,string>>")
+
+    def named(name: Column) -> Column:
+        return F.try_element_at(F.get(table, F.crc32(name.cast("binary")) % _BUCKETS), name)
+
+    def numbered(name: Column) -> Column:
+        digits = F.regexp_replace(name, "^#[xX]?|;$", "")
+        code = F.when(F.length(F.ltrim(F.lit("0"), digits)) > 8, F.lit(0x110000)).when(name.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("bigint")).otherwise(digits.cast("bigint"))
+        return let(F.least(code, F.lit(0x110000)).cast("int"), lambda c: _character(c))
 
     def one(part: Column) -> Column:
-        def resolved(name: Column) -> Column:
-            digits = F.regexp_replace(name, "^#[xX]?|;$", "")
-            code = F.when(F.length(F.ltrim(F.lit("0"), digits)) > 8, F.lit(0x110000)).when(name.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("bigint")).otherwise(digits.cast("bigint"))
-            bare = F.regexp_replace(name, ";$", "")
-            known = F.when(name == "", F.lit(None).cast("string"))
-            for k, v in _COMMON.items():
-                known = known.when(bare == k, F.lit(v))
-            known = known.when(name.startswith("#"), _character(F.least(code, F.lit(0x110000)).cast("int"))).when(name.endswith(";"), F.try_element_at(table, bare)).otherwise(F.try_element_at(old, bare))
-            return F.coalesce(F.concat(known, F.substring(part, F.length(name) + 1, F.length(part))), F.concat(F.lit("&"), part))
-
-        ended = F.regexp_extract(part, r"^(#[xX][0-9a-fA-F]+;?|#[0-9]+;?|[A-Za-z][A-Za-z0-9]{0,30};)", 1)
-        is_known = ended.startswith("#") | F.map_contains_key(table, F.regexp_replace(ended, ";$", ""))
-        return let(F.when((ended != "") & is_known, ended).otherwise(F.regexp_extract(part, f"^({old_names})", 1)), resolved)
-
-    whole = let(F.split(text, "&"), lambda p: F.concat(F.get(p, F.lit(0)), F.array_join(F.transform(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), one), "")))
+        after = lambda name: F.substring(part, F.length(name) + 1, F.length(part))
+        unended = let(F.regexp_extract(part, f"^({old})", 1), lambda name: F.when(name == "", F.concat(F.lit("&"), part)).otherwise(F.concat(named(name), after(name))))
+        resolved = lambda name: F.when(name == "", unended).when(name.startswith("#"), F.concat(numbered(name), after(name))).otherwise(F.coalesce(F.concat(named(name), after(name)), unended))
+        return let(F.regexp_extract(part, r"^(#[xX][0-9a-fA-F]+;?|#[0-9]+;?|[A-Za-z][A-Za-z0-9]{0,30};)", 1), resolved)
+
+    whole = let(F.split(text, "&"), lambda p: F.concat(F.get(p, F.lit(0)), F.array_join(F.transform(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), lambda x: one(x)), "")))
     return F.when(text.contains("&"), whole).otherwise(text)
 
 
 def _character(code: Column) -> Column:
     """The character of a numeric reference: of Windows' code page from 128 to 159, none for controls and non-characters, U+FFFD for what is no character at all."""
-    byte = lambda at, mark: F.lpad(F.hex(F.shiftright(code, at).bitwiseAND(0x3F if mark == 0x80 else 0x7F) + mark), 2, "0")
-    utf8 = (F.when(code < 0x80, byte(0, 0)).when(code < 0x800, F.concat(byte(6, 0xC0), byte(0, 0x80))).when(code < 0x10000, F.concat(byte(12, 0xE0), byte(6, 0x80), byte(0, 0x80)))
-            .otherwise(F.concat(byte(18, 0xF0), byte(12, 0x80), byte(6, 0x80), byte(0, 0x80))))
+    byte = lambda at: F.shiftright(code, at).bitwiseAND(0x3F) + 0x80
+    utf8 = (F.when(code < 0x80, code).when(code < 0x800, (F.shiftright(code, 6) + 0xC0) * 0x100 + byte(0)).when(code < 0x10000, (F.shiftright(code, 12) + 0xE0) * 0x10000 + byte(6) * 0x100 + byte(0))
+            .otherwise((F.shiftright(code, 18) + 0xF0).cast("bigint") * 0x1000000 + byte(12) * 0x10000 + byte(6) * 0x100 + byte(0)))
     windows = F.array(*[F.lit(bytes([i]).decode("cp1252", "replace").replace("\ufffd", chr(i))) for i in range(128, 160)])
     none = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE)
     broken = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
-    return F.when(broken, F.lit("\ufffd")).when(code.between(128, 159), F.get(windows, code - 128)).when(none, F.lit("")).otherwise(F.decode(F.unhex(utf8), "UTF-8"))
+    return F.when(broken, F.lit("\ufffd")).when(code.between(128, 159), F.get(windows, code - 128)).when(none, F.lit("")).otherwise(F.decode(F.unhex(F.hex(utf8)), "UTF-8"))

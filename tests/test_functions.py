@@ -110,6 +110,18 @@ def test_references_of_any_text(spark, data):
     assert values(spark, text.unescape(F.col("x")), data) == [h.unescape(x) for x in data]
 
 
+def test_every_name_is_found_in_a_small_map(spark):
+    """A map is searched key by key, so the names are dealt to many."""
+    import html as h
+    import json
+    from html.entities import html5
+
+    data = [f"&{k} &{k}x" for k in html5] + [f"&#{i};&#x{i:X}" for i in (9, 10, 31, 127, 128, 0x7FF, 0x800, 0xD7FF, 0xFFFD, 0xFFFF, 0x10000, 0x10FFFD)]
+    assert values(spark, text.unescape(F.col("x")), data) == [h.unescape(x) for x in data]
+    buckets = json.loads(text._references()[0])
+    assert sum(map(len, buckets)) == len(html5) and max(map(len, buckets)) <= 8
+
+
 def test_kinds(spark):
     data = [(b"%PDF-1.7", "text/html", "pdf"), (b"PK\x03\x04x", None, "zip"), (b"<!DOCTYPE html><p>", "application/pdf", "html"), (b"<?xml?><a/>", None, "xml"), (b'{"a": 1}', None, "json"),
             (b"[Paper Number] x", "text/plain", "text"), (b"\xff\xfe\x00", "application/pdf", "unknown"), (b"plain", None, "text"), (b"", None, "text")]
